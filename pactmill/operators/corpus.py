@@ -62,18 +62,20 @@ def generated_pairs(df: DataFrame, raw: str) -> DataFrame:
 
     Rows that are not keep their raw text and get ``parsed = false``.
     """
-    stripped = tx.strip(F.col(raw))
-    rows = df.withColumn("_json", stripped).withColumn("_v", jx.wrapped_variant(F.col("_json")))
-    call = F.get_json_object("_json", "$.llamada_api")
-    rows = rows.withColumn("_instruction", F.try_variant_get("_v", "$[0].instruccion", "string"))
-    rows = rows.withColumn("_strict", jx.is_strict(F.col("_v"), F.col("_json")) & jx.is_object_text(F.col("_json")))
-    rows = rows.withColumn("_call", F.when(F.col("_strict"), call))
-    good = F.col("_instruction").isNotNull() & F.col("_call").isNotNull() & F.col("_strict")
-    return (
-        rows.withColumn("parsed", F.coalesce(good, F.lit(False)))
-        .withColumn("instruction", F.when(F.col("parsed"), F.col("_instruction")))
-        .withColumn("response", F.when(F.col("parsed"), F.col("_call")))
-        .drop("_json", "_v", "_instruction", "_call", "_strict")
+    def read(a: Column) -> Column:
+        usable = a["ok"] & jx.is_object_text(a["t"])
+        return F.struct(
+            F.when(usable, F.try_variant_get(a["v"], "$[0].instruccion", "string")).alias("instruction"),
+            # from the text, which keeps the order of the keys
+            F.when(usable, F.get_json_object(a["t"], "$.llamada_api")).alias("response"),
+        )
+
+    rows = df.select("*", F.explode(F.array(jx.let(jx.attempt(tx.strip(F.col(raw))), read))).alias("_x"))
+    parsed = F.col("_x.instruction").isNotNull() & F.col("_x.response").isNotNull()
+    return rows.select(
+        *df.columns, parsed.alias("parsed"),
+        F.when(parsed, F.col("_x.instruction")).alias("instruction"),
+        F.when(parsed, F.col("_x.response")).alias("response"),
     )
 
 

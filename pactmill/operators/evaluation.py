@@ -2,68 +2,102 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pactmill import fixed_values as fv
 from pactmill.functions import contract, jsontext as jx, text as tx
 from pactmill.operators import ordering
 
-_TRIES = (1, 2, 3)
 _FACTS = ("endpoint", "method", "headers", "body", "error")
 
 
-def _attempts(raw):
-    return {1: tx.strip(raw), 2: jx.braces_slice(raw), 3: jx.fenced_block(raw)}
-
-
-def _failed_so_far(attempt: int):
-    failed = F.lit(True)
-    for earlier in range(1, attempt):
-        failed = failed & ~F.col(f"_ok{earlier}")
-    return failed
+def _first_success(raw: Column) -> Column:
+    """Struct of strategy, text and VARIANT of the first attempt that parses. A later attempt is made only when the
+    earlier ones failed, and not again for the same text."""
+    def outcome(strategy: int, a: Column | None) -> Column:
+        return F.struct(
+            F.lit(strategy).alias("strategy"),
+            (F.lit(None).cast("string") if a is None else a["t"]).alias("t"),
+            (F.lit(None).cast("variant") if a is None else a["v"]).alias("v"),
+        )
+
+    def third(a: Column) -> Column:
+        return F.when(a["ok"], outcome(3, a)).otherwise(outcome(0, None))
+
+    def second(a: Column) -> Column:
+        return F.when(a["ok"], outcome(2, a)).otherwise(jx.let(jx.attempt(jx.fenced_block(raw)), third))
+
+    def first(a: Column) -> Column:
+        return F.when(a["ok"], outcome(1, a)).otherwise(
+            jx.let(jx.attempt(F.nullif(jx.braces_slice(raw), a["t"])), second)
+        )
+
+    return jx.let(jx.attempt(tx.strip(raw)), first)
+
+
+def _status(strategy: Column, is_object: Column) -> Column:
+    return F.when(strategy == 0, F.lit("invalid")).when(is_object, F.lit("ok")).otherwise(F.lit("not_object"))
+
+
+def _read(raw: Column) -> Column:
+    """Struct of everything later checks need, from one reading of the text."""
+    def facts(p: Column) -> Column:
+        is_object = F.coalesce(jx.is_object_text(p["t"]), F.lit(False))
+        return F.struct(
+            _status(p["strategy"], is_object).alias("status"),
+            p["strategy"].alias("strategy"),
+            p["t"].alias("json_text"),
+            F.struct(
+                # a field holding JSON null gives a non-NULL variant, an absent one gives NULL
+                *[(is_object & F.try_variant_get(p["v"], f"$[0].{name}", "variant").isNotNull()).alias(f"has_{name}")
+                  for name in _FACTS],
+                *[F.when(is_object, F.try_variant_get(p["v"], f"$[0].{name}", "string")).alias(name)
+                  for name in ("method", "endpoint")],
+            ).alias("found"),
+        )
+
+    return jx.let(_first_success(raw), facts)
+
+
+def _extract_exact(df: DataFrame, raw: str) -> DataFrame:
+    text = F.coalesce(F.col(raw), F.lit(""))
+    rows, failed = df, F.lit(True)
+    for i, candidate in ((1, tx.strip(text)), (2, jx.braces_slice(text)), (3, jx.fenced_block(text))):
+        rows = rows.withColumn(f"_t{i}", F.when(failed, candidate))
+        rows = rows.withColumn(f"_v{i}", jx.exact_facts(F.col(f"_t{i}")))
+        rows = rows.withColumn(f"_ok{i}", F.coalesce(F.col(f"_v{i}.ok"), F.lit(False)))
+        failed = failed & ~F.col(f"_ok{i}")
+    ok = [F.col(f"_ok{i}") for i in (1, 2, 3)]
+    strategy = F.when(ok[0], 1).when(ok[1], 2).when(ok[2], 3).otherwise(0)
+    facts = F.when(ok[0], F.col("_v1")).when(ok[1], F.col("_v2")).when(ok[2], F.col("_v3"))
+    found_text = F.when(ok[0], F.col("_t1")).when(ok[1], F.col("_t2")).when(ok[2], F.col("_t3"))
+    rows = rows.select(*df.columns, strategy.alias("strategy"), found_text.alias("json_text"), facts.alias("_v"))
+    is_object = F.coalesce(jx.is_object_text(F.col("json_text")), F.lit(False))
+    found = F.struct(
+        *[(is_object & F.coalesce(F.array_contains("_v.keys", n), F.lit(False))).alias(f"has_{n}") for n in _FACTS],
+        F.col("_v.method").alias("method"),
+        F.col("_v.endpoint").alias("endpoint"),
+    )
+    return rows.select(
+        *df.columns, _status(F.col("strategy"), is_object).alias("status"), "strategy", "json_text",
+        found.alias("found"),
+    )
 
 
 def extract(df: DataFrame, raw: str = "raw", exact: bool = False) -> DataFrame:
     """Find the JSON in a free-text answer: the whole text, else the braces slice, else the fenced block.
 
     Adds ``status`` (ok, not_object, invalid), ``strategy`` (1, 2, 3, or 0 when nothing parsed), ``json_text`` and the
-    struct ``found`` with the presence of each field and the two checked values. A later attempt is made only for rows
-    whose earlier attempts failed. ``exact`` reads through Python, which also accepts NaN and infinities.
+    struct ``found`` with the presence of each field and the two checked values. ``exact`` reads through Python, which
+    also accepts NaN and infinities.
+
+    The reading is one column: passes that need only other columns (counts, positions) do not parse.
     """
-    raw_text = F.coalesce(F.col(raw), F.lit(""))
-    candidates = _attempts(raw_text)
-    rows = df
-    for i in _TRIES:
-        text = F.col(f"_t{i}")
-        rows = rows.withColumn(f"_t{i}", F.when(_failed_so_far(i), candidates[i]))
-        if exact:
-            rows = rows.withColumn(f"_v{i}", jx.exact_facts(text))
-            rows = rows.withColumn(f"_ok{i}", F.coalesce(F.col(f"_v{i}.ok"), F.lit(False)))
-        else:
-            rows = rows.withColumn(f"_v{i}", jx.wrapped_variant(text))
-            rows = rows.withColumn(f"_ok{i}", jx.is_strict(F.col(f"_v{i}"), text))
-    pick = lambda name: F.coalesce(*[F.when(F.col(f"_ok{i}"), F.col(f"_{name}{i}")) for i in _TRIES])
-    strategy = F.lit(0)
-    for i in reversed(_TRIES):
-        strategy = F.when(F.col(f"_ok{i}"), F.lit(i)).otherwise(strategy)
-    rows = rows.select(*df.columns, strategy.alias("strategy"), pick("t").alias("json_text"), pick("v").alias("_v"))
-    is_object = F.coalesce(jx.is_object_text(F.col("json_text")), F.lit(False))
     if exact:
-        present = {name: F.coalesce(F.array_contains("_v.keys", name), F.lit(False)) for name in _FACTS}
-        value = lambda name: F.col(f"_v.{name}")
-    else:
-        # a field holding JSON null gives a non-NULL variant, an absent one gives NULL
-        present = {name: F.try_variant_get("_v", f"$[0].{name}", "variant").isNotNull() for name in _FACTS}
-        value = lambda name: F.try_variant_get("_v", f"$[0].{name}", "string")
-    found = F.struct(
-        *[(is_object & present[name]).alias(f"has_{name}") for name in _FACTS],
-        F.when(is_object, value("method")).alias("method"),
-        F.when(is_object, value("endpoint")).alias("endpoint"),
+        return _extract_exact(df, raw)
+    return df.withColumn("_x", _read(F.coalesce(F.col(raw), F.lit("")))).select(
+        *df.columns, "_x.status", "_x.strategy", "_x.json_text", "_x.found"
     )
-    status = (
-        F.when(F.col("strategy") == 0, F.lit("invalid")).when(is_object, F.lit("ok")).otherwise(F.lit("not_object"))
-    )
-    return rows.select(*df.columns, status.alias("status"), "strategy", "json_text", found.alias("found"))
 
 
 def check(extracted: DataFrame) -> DataFrame:
@@ -90,8 +124,12 @@ def displayed(extracted: DataFrame, raw: str = "raw", width: int | None = None)
 
 
 def quarantine(extracted: DataFrame, raw: str = "raw", keep: tuple[str, ...] = ("case_id",)) -> DataFrame:
-    """Answers without a usable object, with their raw text."""
-    return extracted.where(F.col("status") != "ok").select(*keep, "status", F.col(raw).alias("raw"))
+    """Answers without a usable object, with their raw text.
+
+    Exploding NULL drops the good rows; a plain filter would be pushed below the extraction and parse texts twice.
+    """
+    bad = F.when(F.col("status") != "ok", F.array("status"))
+    return extracted.select(*keep, F.explode(bad).alias("status"), F.col(raw).alias("raw"))
 
 
 def summary(evaluated: DataFrame, by: list[str] | None = None, elapsed_ms: str | None = "elapsed_ms") -> DataFrame:
