@@ -141,8 +141,11 @@ def nested_report(df: DataFrame, key: str = "vec_id", vector: str = "embedding")
 
 
 def within_budget(reports: DataFrame, budget_bytes: Column) -> DataFrame:
-    """The most precise format whose size fits the budget; no row with a format when none fits."""
+    """The format with the most bits per value whose size fits the budget, the smaller RMSE first on ties.
+
+    NULL when none fits.
+    """
+    precision = F.struct("bits_per_value", -F.col("rmse"), "format")
     return reports.where(F.col("bytes") <= budget_bytes).agg(
-        F.max_by("format", F.struct("bits_per_value", "format")).alias("format"),
-        F.max("bits_per_value").alias("bits_per_value"),
+        F.max_by("format", precision).alias("format"), F.max("bits_per_value").alias("bits_per_value")
     )

@@ -288,13 +288,10 @@ def w1_positional_split(spark, sf_dir):
 
 
 @query("w2_seeded_split", """
-WITH r AS (SELECT l_orderkey, l_linenumber,
-                  row_number() OVER (ORDER BY md5(l_orderkey || '|' || l_linenumber || '|42')) AS r,
-                  count(*) OVER () AS n FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem))
-SELECT l_orderkey, l_linenumber, CASE WHEN r <= (n + 9) // 10 THEN 'eval' ELSE 'train' END AS split FROM r""")
+WITH r AS (SELECT event_id, row_number() OVER (ORDER BY md5(event_id || '|42')) AS r, count(*) OVER () AS n FROM events)
+SELECT event_id, CASE WHEN r <= (n + 9) // 10 THEN 'eval' ELSE 'train' END AS split FROM r""")
 def w2_seeded_split(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
-    return splits.seeded(lines, "l_orderkey", "l_linenumber")
+    return splits.seeded(table(spark, sf_dir, "events").select("event_id"), "event_id")
 
 
 _TOKENS_SQL = r"""

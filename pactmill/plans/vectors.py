@@ -101,10 +101,8 @@ def v5_format_report(spark, sf_dir):
 
 
 @query("v6_within_budget", f"""{_ALL_SQL}
-SELECT arg_max(format, bits_per_value) AS format, max(bits_per_value) AS bits_per_value
-FROM report WHERE bytes * 2 <= (SELECT max(bytes) FROM report) + 1000 AND format <> 'nf4'""")
+SELECT arg_max(format, {{'b': bits_per_value, 'r': -rmse, 'f': format}}) AS format, max(bits_per_value) AS bits_per_value
+FROM report WHERE bytes <= n_values * 5 / 8""")
 def v6_within_budget(spark, sf_dir):
-    """Budget: about half of what the largest format needs, among formats with different sizes."""
-    report = _reports(spark, sf_dir).where(F.col("format") != "nf4")
-    biggest = report.agg(F.max("bytes").alias("b")).first()["b"]
-    return vectors.within_budget(report, F.lit((biggest + 1000) // 2))
+    """Budget: five bits per stored value."""
+    return vectors.within_budget(_reports(spark, sf_dir), F.col("n_values") * 5 / 8)
