@@ -109,29 +109,28 @@ def indented(json_text: Column, width: int) -> Column:
     return layout(json_text)
 
 
-FACTS_TYPE = "ok boolean, keys array<string>, method string, endpoint string"
+FACTS_TYPE = "strategy int, t string, keys array<string>, method string, endpoint string"
 
 
-def exact_facts(text: Column) -> Column:
-    """What Python's JSON reader finds in the text: validity, top-level keys, and the two checked fields."""
+def exact_facts(*candidates: Column) -> Column:
+    """What Python's JSON reader finds in the first candidate it can read: its number (0: none), the text, the
+    top-level keys (NULL unless an object) and the two checked fields where they are strings."""
 
-    @F.pandas_udf(FACTS_TYPE)
-    def read(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for value in texts:
-            if value is None:
-                rows.append((None, None, None, None))
-                continue
+    def facts(texts) -> tuple:
+        for number, text in enumerate(texts, 1):
             try:
-                found = json.loads(value)
+                found = json.loads(text) if text is not None else ...
             except ValueError:
-                rows.append((False, None, None, None))
                 continue
-            if not isinstance(found, dict):
-                rows.append((True, None, None, None))
-                continue
-            checked = [found.get(name) for name in ("method", "endpoint")]
-            rows.append((True, list(found), *[v if isinstance(v, str) else None for v in checked]))
-        return pd.DataFrame(rows, columns=["ok", "keys", "method", "endpoint"])
+            if isinstance(found, dict):
+                checked = [v if isinstance(v := found.get(name), str) else None for name in ("method", "endpoint")]
+                return (number, text, list(found), *checked)
+            if found is not ...:
+                return (number, text, None, None, None)
+        return (0, None, None, None, None)
+
+    @F.pandas_udf(FACTS_TYPE)
+    def read(*columns: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame(map(facts, zip(*columns)), columns=["strategy", "t", "keys", "method", "endpoint"])
 
-    return read(text)
+    return read(*candidates)

@@ -61,26 +61,21 @@ def _read(raw: Column) -> Column:
 
 def _extract_exact(df: DataFrame, raw: str) -> DataFrame:
     text = F.coalesce(F.col(raw), F.lit(""))
-    rows, failed = df, F.lit(True)
-    for i, candidate in ((1, tx.strip(text)), (2, jx.braces_slice(text)), (3, jx.fenced_block(text))):
-        rows = rows.withColumn(f"_t{i}", F.when(failed, candidate))
-        rows = rows.withColumn(f"_v{i}", jx.exact_facts(F.col(f"_t{i}")))
-        rows = rows.withColumn(f"_ok{i}", F.coalesce(F.col(f"_v{i}.ok"), F.lit(False)))
-        failed = failed & ~F.col(f"_ok{i}")
-    ok = [F.col(f"_ok{i}") for i in (1, 2, 3)]
-    strategy = F.when(ok[0], 1).when(ok[1], 2).when(ok[2], 3).otherwise(0)
-    facts = F.when(ok[0], F.col("_v1")).when(ok[1], F.col("_v2")).when(ok[2], F.col("_v3"))
-    found_text = F.when(ok[0], F.col("_t1")).when(ok[1], F.col("_t2")).when(ok[2], F.col("_t3"))
-    rows = rows.select(*df.columns, strategy.alias("strategy"), found_text.alias("json_text"), facts.alias("_v"))
-    is_object = F.coalesce(jx.is_object_text(F.col("json_text")), F.lit(False))
+    candidates = F.struct(
+        tx.strip(text).alias("t1"), jx.braces_slice(text).alias("t2"), jx.fenced_block(text).alias("t3")
+    )
+    # exploded, so that the Python function gets plain columns: Spark does not run one whose arguments hold lambdas
+    rows = df.select("*", F.explode(F.array(candidates)).alias("_c"))
+    rows = rows.withColumn("_x", jx.exact_facts(F.col("_c.t1"), F.col("_c.t2"), F.col("_c.t3")))
+    is_object = F.col("_x.keys").isNotNull()
     found = F.struct(
-        *[(is_object & F.coalesce(F.array_contains("_v.keys", n), F.lit(False))).alias(f"has_{n}") for n in _FACTS],
-        F.col("_v.method").alias("method"),
-        F.col("_v.endpoint").alias("endpoint"),
+        *[(is_object & F.coalesce(F.array_contains("_x.keys", n), F.lit(False))).alias(f"has_{n}") for n in _FACTS],
+        F.col("_x.method").alias("method"),
+        F.col("_x.endpoint").alias("endpoint"),
     )
     return rows.select(
-        *df.columns, _status(F.col("strategy"), is_object).alias("status"), "strategy", "json_text",
-        found.alias("found"),
+        *df.columns, _status(F.col("_x.strategy"), is_object).alias("status"), "_x.strategy",
+        F.col("_x.t").alias("json_text"), found.alias("found"),
     )
 
 

@@ -85,12 +85,12 @@ def with_key_buckets(df: DataFrame, key: str, out: str = "_bucket") -> DataFrame
     edges = probe["edges"] or []
     picked = {float(edges[(i * CELLS) // wanted - 1]) for i in range(1, wanted)} if edges else set()
     if not picked:
-        return df.withColumn(out, F.lit(0.0))
+        return df.withColumn(out, F.lit(0))  # one bucket of at most ROWS_PER_BUCKET rows
     splits = [float("-inf"), *sorted(picked), float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="_key_double", outputCol=out).transform(
+    bucketed = Bucketizer(splits=splits, inputCol="_key_double", outputCol="_place").transform(
         df.withColumn("_key_double", F.col(key).cast("double"))
     )
-    return bucketed.drop("_key_double")
+    return bucketed.withColumn(out, F.col("_place").cast("int")).drop("_key_double", "_place")
 
 
 def bucket_offsets(df: DataFrame, bucket: str, weight: Column, within: list[str] | None = None) -> DataFrame:

@@ -38,7 +38,8 @@ def _chunk_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assembly.assembled(_chunk_stream(spark, sf_dir), watermark=f"{WATERMARK_S} seconds")
+    buckets = max(64, table(spark, sf_dir, "orders").count() // 500)
+    return assembly.assembled(_chunk_stream(spark, sf_dir), watermark=f"{WATERMARK_S} seconds", buckets=buckets)
 
 
 def _assembled(spark: SparkSession, sf_dir: str) -> DataFrame:

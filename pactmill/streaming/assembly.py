@@ -1,11 +1,15 @@
 """Putting streamed answer chunks together, with a time-out on event time.
 
-State is keyed by request and part (``seq div PART_ROWS``), as in the batch form, so a single long request never
-fills one state row or one task. Within a part:
+A request is handled in parts (``seq div PART_ROWS``), as in the batch form, so one very long request spreads over
+many state rows and tasks. Parts are hashed to ``buckets``; a bucket is one state row. Calls into Python are made per
+bucket and micro-batch, not per request, which is what makes this affordable with many short requests; choose
+``buckets`` so that a bucket holds up to about a thousand open requests.
+
+Within a part:
 
 * an answer is emitted once: when the final chunk and all earlier ones have arrived, or when a part that is not the
   last one is full;
-* after that a tombstone absorbs late chunks until the timer clears it;
+* after that a tombstone absorbs late chunks until its time is up;
 * when nothing arrives for ``timeout_s`` of event time the answer becomes the empty text (``how = 'timeout'``), or,
   if the final chunk had come but earlier ones are missing, the text that did arrive (``how = 'gap'``).
 
@@ -15,6 +19,7 @@ Time-outs fire only as the watermark moves: a stream that goes quiet does not ti
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -23,59 +28,100 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pactmill import fixed_values as fv
 from pactmill.operators.answers import PART_ROWS
 
+BUCKETS = 1024
 OUTPUT = "request_id string, part bigint, answer string, how string"
-STATE = "seqs array<bigint>, texts array<string>, done_seq bigint, closed boolean, last_ms bigint"
+# open parts, and their chunks; ``owner`` is the place of the chunk's part in the first arrays
+STATE = (
+    "ids array<string>, parts array<bigint>, finals array<bigint>, closed array<boolean>, last_ms array<bigint>, "
+    "owner array<int>, seqs array<bigint>, texts array<string>"
+)
+
+
+@dataclass
+class _Part:
+    final: int = -1  # sequence number of the chunk marked final
+    closed: bool = False  # already emitted; late chunks are absorbed
+    last_ms: int = 0
+    pieces: dict[int, str] = field(default_factory=dict)
+
+    def text(self) -> str:
+        return "".join(self.pieces[s] for s in sorted(self.pieces))
+
+    def complete(self, number: int, part_rows: int) -> bool:
+        if len(self.pieces) == part_rows:
+            return True
+        return self.final >= 0 and all(s in self.pieces for s in range(number * part_rows, self.final + 1))
+
+
+def _loaded(state: GroupState) -> dict[tuple[str, int], _Part]:
+    if not state.exists:
+        return {}
+    ids, numbers, finals, closed, last_ms, owner, seqs, texts = state.get
+    parts = [_Part(int(f), bool(c), int(t)) for f, c, t in zip(finals, closed, last_ms)]
+    for at, seq, text in zip(owner, seqs, texts):
+        parts[at].pieces[int(seq)] = text
+    return {(i, int(n)): part for i, n, part in zip(ids, numbers, parts)}
+
+
+def _stored(open_parts: dict[tuple[str, int], _Part]) -> tuple:
+    parts = list(open_parts.values())
+    chunks = [(at, seq, text) for at, part in enumerate(parts) for seq, text in part.pieces.items()]
+    return (
+        [key[0] for key in open_parts], [key[1] for key in open_parts], [p.final for p in parts],
+        [p.closed for p in parts], [p.last_ms for p in parts], *[[c[i] for c in chunks] for i in range(3)],
+    )
 
 
 def _step(part_rows: int, timeout_ms: int):
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        request, part = key
-
-        def emitted(text: str, how: str) -> pd.DataFrame:
-            return pd.DataFrame({"request_id": [request], "part": [part], "answer": [text], "how": [how]})
-
-        seqs, texts, done_seq, closed, last_ms = ([], [], -1, False, 0) if not state.exists else state.get
-        pieces = dict(zip([int(s) for s in seqs], list(texts)))
-
-        def joined() -> str:
-            return "".join(pieces[s] for s in sorted(pieces))
-
-        if state.hasTimedOut:
+    def run(_: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        open_parts, touched, emitted = _loaded(state), set(), []
+        if not state.hasTimedOut:
+            for rows in batches:
+                columns = (rows[c].tolist() for c in ("request_id", "part", "seq", "ms", "content", "done"))
+                for request, number, seq, ms, content, done in zip(*columns):
+                    key = (request, number)
+                    part = open_parts.setdefault(key, _Part())
+                    part.last_ms = max(part.last_ms, ms)
+                    touched.add(key)
+                    if part.closed:
+                        continue
+                    part.pieces[seq] = content or ""
+                    if done:
+                        part.final = seq if part.final < 0 else min(part.final, seq)
+        for key in touched:
+            part = open_parts[key]
+            if not part.closed and part.complete(key[1], part_rows):
+                emitted.append((*key, part.text(), "done" if part.final >= 0 else "part"))
+                part.closed, part.pieces = True, {}
+
+        mark = state.getCurrentWatermarkMs()
+        for key in [k for k, p in open_parts.items() if k not in touched and p.last_ms + timeout_ms < mark]:
+            part = open_parts.pop(key)
+            if not part.closed:
+                emitted.append((*key, part.text(), "gap") if part.final >= 0 else (*key, "", "timeout"))
+
+        if open_parts:
+            state.update(_stored(open_parts))
+            due = min(p.last_ms for p in open_parts.values()) + timeout_ms
+            state.setTimeoutTimestamp(max(due, mark + 1))  # a timer behind the watermark is an error
+        else:
             state.remove()
-            if not closed:
-                yield emitted(joined() if done_seq >= 0 else "", "gap" if done_seq >= 0 else "timeout")
-            return
-
-        for rows in batches:
-            last_ms = max(last_ms, int(rows["ts"].max().value // 1_000_000))
-            if closed:
-                continue
-            pieces.update(zip(rows["seq"].astype(int), rows["content"].fillna("")))
-            finals = rows.loc[rows["done"], "seq"]
-            if len(finals):
-                done_seq = int(finals.min()) if done_seq < 0 else min(done_seq, int(finals.min()))
-
-        first = part * part_rows
-        if not closed:
-            full = len(pieces) == part_rows
-            last = first + part_rows - 1 if full else done_seq
-            if full or (done_seq >= 0 and all(s in pieces for s in range(first, last + 1))):
-                yield emitted(joined(), "done" if done_seq >= 0 else "part")
-                pieces, closed = {}, True
-        state.update((list(pieces), list(pieces.values()), done_seq, closed, last_ms))
-        # a timer behind the watermark is an error
-        state.setTimeoutTimestamp(max(last_ms + timeout_ms, state.getCurrentWatermarkMs() + 1))
+        if emitted:
+            yield pd.DataFrame(emitted, columns=["request_id", "part", "answer", "how"])
 
     return run
 
 
 def assembled(
     chunks: DataFrame, timeout_s: int = fv.TIMEOUT_SECONDS, watermark: str = "10 seconds", part_rows: int = PART_ROWS,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Stream of (request_id, seq, ts, content, done) to a stream of answers."""
-    keyed = chunks.withWatermark("ts", watermark).withColumn("part", F.expr(f"seq div {part_rows}"))
-    return keyed.select("request_id", "part", "seq", "ts", "content", "done").groupBy(
-        "request_id", "part"
-    ).applyInPandasWithState(
+    part = F.expr(f"seq div {part_rows}")
+    keyed = chunks.withWatermark("ts", watermark).select(
+        F.pmod(F.xxhash64("request_id", part), F.lit(buckets)).alias("bucket"),
+        "request_id", part.alias("part"), "seq", "ts", F.unix_millis("ts").alias("ms"), "content", "done",
+    )
+    return keyed.groupBy("bucket").applyInPandasWithState(
         _step(part_rows, timeout_s * 1000), OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
