@@ -9,7 +9,6 @@ or closes the bracket itself cannot produce it. ``NaN`` and infinities are rejec
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
@@ -19,12 +18,7 @@ from pactmill.functions import text as tx
 _FENCE = "```json"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it several times in ``body``, whatever is pushed or inlined around it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _plausible(text: Column) -> Column:
+def plausible(text: Column) -> Column:
     """Cheap look at both ends: what cannot be one JSON value is not worth a parse that fails by exception."""
     def ends(opening: str, closing: str) -> Column:
         return F.startswith(text, F.lit(opening)) & F.endswith(text, F.lit(closing))
@@ -35,50 +29,44 @@ def _plausible(text: Column) -> Column:
     )
 
 
-def attempt(text: Column) -> Column:
-    """Strict parse of a text: struct of ``ok``, the text ``t`` and the VARIANT ``v`` of ``[text, hash]``."""
-    def parsed(t: Column) -> Column:
-        wrapped = F.concat(F.lit("["), t, F.lit(","), F.xxhash64(t).cast("string"), F.lit("]"))
-        return let(
-            F.when(_plausible(t), F.try_parse_json(wrapped)),
-            lambda v: F.struct(
-                F.coalesce(F.try_variant_get(v, "$[1]", "bigint") == F.xxhash64(t), F.lit(False)).alias("ok"),
-                t.alias("t"),
-                v.alias("v"),
-            ),
-        )
+def wrapped(text: Column) -> Column:
+    """VARIANT of ``[text, hash]``; NULL where no JSON value can be read."""
+    inside = F.concat(F.lit("["), text, F.lit(","), F.xxhash64(text).cast("string"), F.lit("]"))
+    return F.when(plausible(text), F.try_parse_json(inside))
+
 
-    return let(text, parsed)
+def is_strict(variant: Column, text: Column) -> Column:
+    """Whether ``variant``, from :func:`wrapped`, holds exactly one JSON value and then the hash."""
+    return F.coalesce(F.try_variant_get(variant, "$[1]", "bigint") == F.xxhash64(text), F.lit(False))
 
 
 def strict_json(text: Column) -> Column:
     """True where the text is one JSON value and nothing else."""
-    return attempt(text)["ok"]
+    return is_strict(wrapped(text), text)
+
+
+def opaque(column: Column) -> Column:
+    """The same values, but Spark will not move a filter on them below the projection that makes them.
+
+    A filter pushed under several steps of parsing would repeat all of them. Passes that do not need the column still
+    drop it.
+    """
+    return column + F.spark_partition_id() * 0
 
 
 def braces_slice(raw: Column) -> Column:
     """From the first ``{`` to the last ``}``; NULL when there is no such span. The slice is not stripped."""
-    ends = F.struct(
-        F.instr(raw, "{").alias("first"),
-        (F.length(raw) - F.length(F.substring_index(raw, "}", -1))).alias("last"),
-    )
-    return let(
-        ends,
-        lambda e: F.when(
-            (e["first"] > 0) & (e["last"] > e["first"]), F.substring(raw, e["first"], e["last"] - e["first"] + 1)
-        ),
-    )
+    first = F.instr(raw, "{")
+    last = F.length(raw) - F.length(F.substring_index(raw, "}", -1))
+    return F.when((first > 0) & (last > first), F.substring(raw, first, last - first + 1))
 
 
 def fenced_block(raw: Column) -> Column:
     """Stripped text between the first json fence and the next fence; NULL when there is none or it is empty."""
-    def inside(start: Column) -> Column:
-        return let(
-            F.call_function("locate", F.lit("```"), raw, start),
-            lambda closed: F.when(closed > start, tx.strip(F.substring(raw, start, closed - start))),
-        )
-
-    return let(F.locate(_FENCE, raw), lambda opened: F.when(opened > 0, inside(opened + len(_FENCE))))
+    opened = F.locate(_FENCE, raw)
+    start = opened + len(_FENCE)
+    closed = F.call_function("locate", F.lit("```"), raw, start)
+    return F.when((opened > 0) & (closed > start), tx.strip(F.substring(raw, start, closed - start)))
 
 
 def is_object_text(json_text: Column) -> Column:

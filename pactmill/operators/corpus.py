@@ -62,20 +62,16 @@ def generated_pairs(df: DataFrame, raw: str) -> DataFrame:
 
     Rows that are not keep their raw text and get ``parsed = false``.
     """
-    def read(a: Column) -> Column:
-        usable = a["ok"] & jx.is_object_text(a["t"])
-        return F.struct(
-            F.when(usable, F.try_variant_get(a["v"], "$[0].instruccion", "string")).alias("instruction"),
-            # from the text, which keeps the order of the keys
-            F.when(usable, F.get_json_object(a["t"], "$.llamada_api")).alias("response"),
-        )
-
-    rows = df.select("*", F.explode(F.array(jx.let(jx.attempt(tx.strip(F.col(raw))), read))).alias("_x"))
-    parsed = F.col("_x.instruction").isNotNull() & F.col("_x.response").isNotNull()
+    text = F.col("_t")
+    rows = df.withColumn("_t", tx.strip(F.col(raw))).withColumn("_v", jx.wrapped(text))
+    usable = jx.is_strict(F.col("_v"), text) & jx.is_object_text(text)
+    rows = rows.withColumn("_i", F.when(usable, F.try_variant_get("_v", "$[0].instruccion", "string")))
+    # from the text, which keeps the order of the keys
+    rows = rows.withColumn("_r", F.when(F.col("_i").isNotNull(), F.get_json_object(text, "$.llamada_api")))
+    parsed = F.col("_r").isNotNull()
     return rows.select(
-        *df.columns, parsed.alias("parsed"),
-        F.when(parsed, F.col("_x.instruction")).alias("instruction"),
-        F.when(parsed, F.col("_x.response")).alias("response"),
+        *df.columns, parsed.alias("parsed"), F.when(parsed, F.col("_i")).alias("instruction"),
+        F.col("_r").alias("response"),
     )
 
 

@@ -8,55 +8,49 @@ from pactmill import fixed_values as fv
 from pactmill.functions import contract, jsontext as jx, text as tx
 from pactmill.operators import ordering
 
-_FACTS = ("endpoint", "method", "headers", "body", "error")
-
-
-def _first_success(raw: Column) -> Column:
-    """Struct of strategy, text and VARIANT of the first attempt that parses. A later attempt is made only when the
-    earlier ones failed, and not again for the same text."""
-    def outcome(strategy: int, a: Column | None) -> Column:
-        return F.struct(
-            F.lit(strategy).alias("strategy"),
-            (F.lit(None).cast("string") if a is None else a["t"]).alias("t"),
-            (F.lit(None).cast("variant") if a is None else a["v"]).alias("v"),
-        )
-
-    def third(a: Column) -> Column:
-        return F.when(a["ok"], outcome(3, a)).otherwise(outcome(0, None))
-
-    def second(a: Column) -> Column:
-        return F.when(a["ok"], outcome(2, a)).otherwise(jx.let(jx.attempt(jx.fenced_block(raw)), third))
-
-    def first(a: Column) -> Column:
-        return F.when(a["ok"], outcome(1, a)).otherwise(
-            jx.let(jx.attempt(F.nullif(jx.braces_slice(raw), a["t"])), second)
-        )
-
-    return jx.let(jx.attempt(tx.strip(raw)), first)
+_FACTS = (*fv.REQUIRED_FIELDS, "error")
 
 
 def _status(strategy: Column, is_object: Column) -> Column:
     return F.when(strategy == 0, F.lit("invalid")).when(is_object, F.lit("ok")).otherwise(F.lit("not_object"))
 
 
-def _read(raw: Column) -> Column:
-    """Struct of everything later checks need, from one reading of the text."""
-    def facts(p: Column) -> Column:
-        is_object = F.coalesce(jx.is_object_text(p["t"]), F.lit(False))
-        return F.struct(
-            _status(p["strategy"], is_object).alias("status"),
-            p["strategy"].alias("strategy"),
-            p["t"].alias("json_text"),
-            F.struct(
-                # a field holding JSON null gives a non-NULL variant, an absent one gives NULL
-                *[(is_object & F.try_variant_get(p["v"], f"$[0].{name}", "variant").isNotNull()).alias(f"has_{name}")
-                  for name in _FACTS],
-                *[F.when(is_object, F.try_variant_get(p["v"], f"$[0].{name}", "string")).alias(name)
-                  for name in ("method", "endpoint")],
-            ).alias("found"),
-        )
+def _with_attempt(df: DataFrame, number: int, text: Column) -> DataFrame:
+    """Add the text of an attempt, its VARIANT and whether it parsed; a NULL text is not tried."""
+    t, v = F.col(f"_t{number}"), F.col(f"_v{number}")
+    tried = t.isNotNull()
+    rows = df.withColumn(f"_t{number}", text).withColumn(f"_v{number}", F.when(tried, jx.wrapped(t)))
+    return rows.withColumn(f"_ok{number}", F.when(tried, jx.is_strict(v, t)).otherwise(False))
 
-    return jx.let(_first_success(raw), facts)
+
+def _extract_native(df: DataFrame, raw: str) -> DataFrame:
+    text = F.coalesce(F.col(raw), F.lit(""))
+    ok = [F.col(f"_ok{i}") for i in (1, 2, 3)]
+    rows = _with_attempt(df, 1, tx.strip(text))
+    # the same text is not tried again
+    rows = _with_attempt(rows, 2, F.when(~ok[0], F.nullif(jx.braces_slice(text), F.col("_t1"))))
+    rows = _with_attempt(rows, 3, F.when(~ok[0] & ~ok[1], jx.fenced_block(text)))
+
+    def first_success(name: str) -> Column:
+        return F.when(ok[0], F.col(f"_{name}1")).when(ok[1], F.col(f"_{name}2")).when(ok[2], F.col(f"_{name}3"))
+
+    strategy = F.when(ok[0], 1).when(ok[1], 2).when(ok[2], 3).otherwise(0)
+    rows = rows.select(
+        *df.columns, jx.opaque(strategy).alias("strategy"), first_success("t").alias("json_text"),
+        first_success("v").alias("_v"),
+    )
+    # one cast reads all fields of an object: one holding JSON null is a non-NULL variant, an absent one is NULL
+    fields = ", ".join(f"{name} variant" for name in _FACTS)
+    rows = rows.withColumn("_f", F.try_variant_get("_v", "$[0]", f"struct<{fields}>"))
+    found = F.struct(
+        *[F.col(f"_f.{name}").isNotNull().alias(f"has_{name}") for name in _FACTS],
+        *[F.try_variant_get(F.col(f"_f.{name}"), "$", "string").alias(name) for name in ("method", "endpoint")],
+    )
+    is_object = F.coalesce(jx.is_object_text(F.col("json_text")), F.lit(False))
+    return rows.select(
+        *df.columns, _status(F.col("strategy"), is_object).alias("status"), "strategy", "json_text",
+        found.alias("found"),
+    )
 
 
 def _extract_exact(df: DataFrame, raw: str) -> DataFrame:
@@ -85,14 +79,8 @@ def extract(df: DataFrame, raw: str = "raw", exact: bool = False) -> DataFrame:
     Adds ``status`` (ok, not_object, invalid), ``strategy`` (1, 2, 3, or 0 when nothing parsed), ``json_text`` and the
     struct ``found`` with the presence of each field and the two checked values. ``exact`` reads through Python, which
     also accepts NaN and infinities.
-
-    The reading is one column: passes that need only other columns (counts, positions) do not parse.
     """
-    if exact:
-        return _extract_exact(df, raw)
-    return df.withColumn("_x", _read(F.coalesce(F.col(raw), F.lit("")))).select(
-        *df.columns, "_x.status", "_x.strategy", "_x.json_text", "_x.found"
-    )
+    return _extract_exact(df, raw) if exact else _extract_native(df, raw)
 
 
 def check(extracted: DataFrame) -> DataFrame:
@@ -119,12 +107,8 @@ def displayed(extracted: DataFrame, raw: str = "raw", width: int | None = None)
 
 
 def quarantine(extracted: DataFrame, raw: str = "raw", keep: tuple[str, ...] = ("case_id",)) -> DataFrame:
-    """Answers without a usable object, with their raw text.
-
-    Exploding NULL drops the good rows; a plain filter would be pushed below the extraction and parse texts twice.
-    """
-    bad = F.when(F.col("status") != "ok", F.array("status"))
-    return extracted.select(*keep, F.explode(bad).alias("status"), F.col(raw).alias("raw"))
+    """Answers without a usable object, with their raw text."""
+    return extracted.where(F.col("status") != "ok").select(*keep, "status", F.col(raw).alias("raw"))
 
 
 def summary(evaluated: DataFrame, by: list[str] | None = None, elapsed_ms: str | None = "elapsed_ms") -> DataFrame:

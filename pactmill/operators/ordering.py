@@ -74,16 +74,15 @@ def with_key_buckets(df: DataFrame, key: str, out: str = "_bucket") -> DataFrame
     The boundaries are a bounded list of approximate quantiles fixed here as literals, so the bucket stays a pure
     function of the key however often the rows are read.
     """
-    probe = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count(key).alias("n_key"),
-        F.percentile_approx(key, [i / CELLS for i in range(1, CELLS)], 4 * CELLS).alias("edges"),
-    ).first()
-    if probe["n"] != probe["n_key"]:
+    n, n_key = df.agg(F.count(F.lit(1)), F.count(key)).first()
+    if n != n_key:
         raise ValueError(f"{key} must not be null")
-    wanted = max(1, min(CELLS, -(-probe["n"] // ROWS_PER_BUCKET)))
-    edges = probe["edges"] or []
-    picked = {float(edges[(i * CELLS) // wanted - 1]) for i in range(1, wanted)} if edges else set()
+    wanted = max(1, min(CELLS, -(-n // ROWS_PER_BUCKET)))
+    picked = set()
+    if wanted > 1:
+        shares = ", ".join(f"{i / wanted}D" for i in range(1, wanted))
+        edges = F.expr(f"percentile_approx(`{key}`, array({shares}), {4 * CELLS})")
+        picked = {float(edge) for edge in df.agg(edges).first()[0]}
     if not picked:
         return df.withColumn(out, F.lit(0))  # one bucket of at most ROWS_PER_BUCKET rows
     splits = [float("-inf"), *sorted(picked), float("inf")]
