@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from pactmill import fixed_values as fv
@@ -20,16 +22,33 @@ def largest(block: Column) -> Column:
     return F.array_max(F.transform(block, F.abs))
 
 
+def _scaled(vector: Column, width: int, top: float) -> Column:
+    """Blocks as (scale, ratios): the largest magnitude over ``top``, and each value over that scale.
+
+    The scale is computed in a step of its own; inside the step over the values it would be computed for each of them.
+    A block of zeros has ratios of zero.
+    """
+    measured = F.transform(
+        blocks(vector, width), lambda b: F.struct((largest(b) / F.lit(float(top))).alias("scale"), b.alias("values"))
+    )
+    return F.transform(
+        measured,
+        lambda b: F.struct(
+            b["scale"].alias("scale"),
+            F.transform(b["values"], lambda v: F.when(b["scale"] == 0, 0.0).otherwise(v / b["scale"])).alias("ratios"),
+        ),
+    )
+
+
+def _coded(scaled: Column, code: Callable[[Column], Column]) -> Column:
+    return F.transform(
+        scaled, lambda b: F.struct(b["scale"].alias("scale"), F.transform(b["ratios"], code).alias("codes"))
+    )
+
+
 def symmetric(vector: Column, width: int, top: int) -> Column:
     """Blocks as (scale, codes): scale is the largest magnitude over ``top``, codes lie in -top..top."""
-    def one(block: Column) -> Column:
-        scale = largest(block) / F.lit(float(top))
-        codes = F.when(scale == 0, F.transform(block, lambda v: F.lit(0).cast("tinyint"))).otherwise(
-            F.transform(block, lambda v: F.round(v / scale).cast("tinyint"))
-        )
-        return F.struct(scale.alias("scale"), codes.alias("codes"))
-
-    return F.transform(blocks(vector, width), one)
+    return _coded(_scaled(vector, width, top), lambda x: F.round(x).cast("tinyint"))
 
 
 def q8(vector: Column) -> Column:
@@ -52,14 +71,7 @@ def _nearest_level(x: Column, low: int = 0, high: int = 15) -> Column:
 
 def nf4(vector: Column) -> Column:
     """Blocks of 64 as (scale, codes 0..15): scale is the largest magnitude, codes index the NF4 levels."""
-    def one(block: Column) -> Column:
-        scale = largest(block)
-        codes = F.when(scale == 0, F.transform(block, lambda v: F.lit(7).cast("tinyint"))).otherwise(
-            F.transform(block, lambda v: _nearest_level(v / scale))
-        )
-        return F.struct(scale.alias("scale"), codes.alias("codes"))
-
-    return F.transform(blocks(vector, 64), one)
+    return _coded(_scaled(vector, 64, 1), lambda x: _nearest_level(x))
 
 
 def restore_symmetric(quantized: Column) -> Column:

@@ -9,8 +9,8 @@ from pactmill import fixed_values as fv
 
 def missing_fields(present: dict[str, Column]) -> Column:
     """Required fields that are absent, in contract order. A field holding null is present."""
-    return F.array_compact(
-        F.array(*[F.when(~present[name], F.lit(name)) for name in fv.REQUIRED_FIELDS])
+    return F.array_remove(
+        F.array(*[F.when(present[name], F.lit("")).otherwise(F.lit(name)) for name in fv.REQUIRED_FIELDS]), ""
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from pactmill import fixed_values as fv
+from pactmill import fixed_values as fv, session
 from pactmill.functions import text as tx
 from pactmill.operators import ordering
 
@@ -18,14 +18,20 @@ def cap_tokens(df: DataFrame, text: str = "text", cap: int = fv.MAX_SEQ_LENGTH)
     )
 
 
+def _starts(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Key, token count and global start of every row that has tokens. The texts are read once: the counts are stored
+    and all numbering runs on that narrow table."""
+    counted = session.stored(df.select(key, tx.token_count(F.col(text)).alias("n_tokens")), "token-counts")
+    return ordering.with_running_start(counted, key, F.col("n_tokens"), "start").where("n_tokens > 0")
+
+
 def pack_plan(df: DataFrame, key: str, text: str = "text", cap: int = fv.MAX_SEQ_LENGTH) -> DataFrame:
     """Lay all token sequences end to end in key order and cut them into blocks of ``cap`` tokens.
 
     One row per (row, block) piece: where the piece starts in its row, where it lands in the block, how long it is.
     Only the key and the token count are shuffled; a row's pieces need nothing but its own start.
     """
-    counted = df.select(key, tx.token_count(F.col(text)).alias("n_tokens")).where("n_tokens > 0")
-    placed = ordering.with_running_start(counted, key, F.col("n_tokens"), "start")
+    placed = _starts(df, key, text)
     blocks = F.expr(f"sequence(start div {cap}, (start + n_tokens - 1) div {cap})")
     first = F.greatest(F.col("start"), F.col("block") * cap)
     last = F.least(F.col("start") + F.col("n_tokens"), (F.col("block") + 1) * cap)
@@ -44,8 +50,7 @@ def pack(df: DataFrame, key: str, text: str = "text", cap: int = fv.MAX_SEQ_LENG
     Each row is cut into its pieces before the explode, so the moved text stays as long as the input, and a block
     collects at most ``cap`` tokens.
     """
-    counted = df.select(key, tx.token_count(F.col(text)).alias("n_tokens")).where("n_tokens > 0")
-    starts = ordering.with_running_start(counted, key, F.col("n_tokens"), "start").drop("n_tokens")
+    starts = _starts(df, key, text).drop("n_tokens")
     rows = df.select(key, tx.tokens(F.col(text)).alias("tokens")).join(starts, key)
     # piece b of a row: tokens [max(start, b*cap), min(start+n, (b+1)*cap) ) in global positions
     pieces = F.expr(

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pactmill import session
 from pactmill.functions import blocks as bl
 from pactmill.operators import ordering
 
@@ -57,9 +58,9 @@ def nested_scales(df: DataFrame, key: str = "vec_id", vector: str = "embedding")
     deviation of a group are windows over its 256 rows, so a single shuffle by group serves both. The mean is taken
     from ten-digit decimals and does not depend on row order.
     """
-    n_blocks = F.ceil(F.size(vector) / 64)
-    starts = ordering.with_running_start(df.select(key, F.greatest(F.size(vector), F.lit(0)).alias("_size")), key,
-                                         F.ceil(F.col("_size") / 64), "_start").drop("_size")
+    n_blocks = F.ceil(F.greatest(F.size(vector), F.lit(0)) / 64)
+    counted = session.stored(df.select(key, n_blocks.alias("_n_blocks")), "block-counts")
+    starts = ordering.with_running_start(counted, key, F.col("_n_blocks"), "_start").drop("_n_blocks")
     scales = (
         df.where(n_blocks > 0)
         .select(key, F.transform(bl.blocks(F.col(vector), 64), bl.largest).alias("s"))

@@ -5,12 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Duplicate JSON keys: the last one wins, as in a strict JSON reader that builds a dictionary.
+# Generated methods above 8000 bytes of bytecode are never compiled by the JVM; Spark then splits the work instead.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -40,3 +42,11 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     if not shared:
         shared = tempfile.mkdtemp(prefix="pactmill-")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a narrow intermediate table to the shared folder and read it back: later passes do not repeat the work
+    behind it, and it survives the loss of executors."""
+    folder = scratch_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
