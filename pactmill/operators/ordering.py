@@ -68,24 +68,26 @@ def key_cut(df: DataFrame, key: str, k: int) -> int | None:
             raise ValueError(f"{key} is not unique, so the split has no exact size")
 
 
-def with_key_buckets(df: DataFrame, key: str, out: str = "_bucket") -> DataFrame:
-    """Add a bucket number that grows with a numeric key; buckets hold about equal numbers of rows.
+def key_edges(df: DataFrame, key: str) -> list[float]:
+    """Boundaries that cut a numeric key into buckets of about ``ROWS_PER_BUCKET`` rows, at most ``CELLS`` buckets.
 
-    The boundaries are a bounded list of approximate quantiles fixed here as literals, so the bucket stays a pure
-    function of the key however often the rows are read.
+    They are approximate quantiles fetched once, so a bucket stays a pure function of the key however often the rows
+    are read. Empty when all rows fit one bucket.
     """
     n, n_key = df.agg(F.count(F.lit(1)), F.count(key)).first()
     if n != n_key:
         raise ValueError(f"{key} must not be null")
-    wanted = max(1, min(CELLS, -(-n // ROWS_PER_BUCKET)))
-    picked = set()
-    if wanted > 1:
-        shares = ", ".join(f"{i / wanted}D" for i in range(1, wanted))
-        edges = F.expr(f"percentile_approx(`{key}`, array({shares}), {4 * CELLS})")
-        picked = {float(edge) for edge in df.agg(edges).first()[0]}
-    if not picked:
-        return df.withColumn(out, F.lit(0))  # one bucket of at most ROWS_PER_BUCKET rows
-    splits = [float("-inf"), *sorted(picked), float("inf")]
+    wanted = min(CELLS, -(-n // ROWS_PER_BUCKET))
+    if wanted <= 1:
+        return []
+    shares = ", ".join(f"{i / wanted}D" for i in range(1, wanted))
+    edges = F.expr(f"percentile_approx(`{key}`, array({shares}), {4 * CELLS})")
+    return sorted({float(edge) for edge in df.agg(edges).first()[0]})
+
+
+def with_key_buckets(df: DataFrame, key: str, edges: list[float], out: str = "_bucket") -> DataFrame:
+    """Add a bucket number that grows with the key."""
+    splits = [float("-inf"), *edges, float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol="_key_double", outputCol="_place").transform(
         df.withColumn("_key_double", F.col(key).cast("double"))
     )
@@ -102,7 +104,11 @@ def bucket_offsets(df: DataFrame, bucket: str, weight: Column, within: list[str]
 
 def with_running_start(df: DataFrame, key: str, weight: Column, out: str) -> DataFrame:
     """Add the sum of ``weight`` over all rows with a smaller key, exactly, in one shuffle of the given columns."""
-    rows = with_key_buckets(df, key).withColumn("_weight", weight.cast("bigint"))
+    edges = key_edges(df, key)
+    if not edges:  # at most ROWS_PER_BUCKET rows
+        whole = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(out, F.coalesce(F.sum(weight.cast("bigint")).over(whole), F.lit(0)))
+    rows = with_key_buckets(df, key, edges).withColumn("_weight", weight.cast("bigint"))
     offsets = bucket_offsets(rows, "_bucket", F.col("_weight"))
     before = Window.partitionBy("_bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     # offsets: one row per bucket, at most CELLS rows
