@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pactmill import fixed_values as fv, session
 from pactmill.functions import batched, chat, jsontext as jx, text as tx
-from pactmill.operators import corpus, ordering, packing, schedule, splits
+from pactmill.operators import corpus, packing, schedule, splits
 from pactmill.plans import derive
 from pactmill.plans.derive import ACTIONS, ANSWERS_SQL, PAIRS_SQL
 from pactmill.plans.registry import query, table

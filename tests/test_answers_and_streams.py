@@ -2,8 +2,8 @@
 
 import datetime
 import json
+import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from pactmill.operators import answers as an, evaluation as ev
@@ -25,7 +25,6 @@ def feed(folder, batches):
         (folder / f"{i:03}.json").write_text("\n".join(lines) + "\n")
         # file streams take files in order of their time of change
         stamp = 1_700_000_000 + i
-        import os
         os.utime(folder / f"{i:03}.json", (stamp, stamp))
 
 
