@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -20,12 +23,26 @@ SESSION_SETTINGS = {
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the operators rely on to a session someone else created."""
+    """Apply the runtime settings the operators rely on to a session someone else created, and send it this package."""
     for name, value in SESSION_SETTINGS.items():
         spark.conf.set(name, value)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per Spark context, wherever the driver imported it from."""
+    context = spark.sparkContext
+    if getattr(context, "_pactmill_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    with tempfile.TemporaryDirectory(prefix="pactmill-") as folder:
+        staged = os.path.join(folder, "staged")
+        shutil.copytree(package, os.path.join(staged, "pactmill"), ignore=shutil.ignore_patterns("__pycache__"))
+        context.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="pactmill-"), "pactmill"), "zip", staged))
+    context._pactmill_shipped = True
+
+
 def build(app: str = "pactmill", master: str | None = None, **settings: str) -> SparkSession:
     """Create a session; ``settings`` use underscores twice for dots (``spark__driver__memory``)."""
     builder = SparkSession.builder.appName(app)
@@ -37,9 +54,12 @@ def build(app: str = "pactmill", master: str | None = None, **settings: str) ->
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the shared folder the cluster names; a local one only where none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    """A fresh folder under the shared folder the cluster names: ``spark.checkpoint.dir``, else the checkpoint folder of
+    the Spark context. Where neither is set, a local one if the master is local, an error if it is not."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         shared = tempfile.mkdtemp(prefix="pactmill-")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from pactmill import plans
 from pactmill.operators import answers as an, evaluation as ev, runs, splits
 from pactmill.sources import readers, sinks
 
@@ -19,7 +20,7 @@ def plan(df):
 
 
 @needs_tables
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not n.startswith(("t1", "t2", "t3", "t4"))))
+@pytest.mark.parametrize("name", sorted(n for n in plans.QUERIES if not n.startswith(("t1", "t2", "t3", "t4"))))
 def test_no_cross_joins_and_no_row_at_a_time_python(spark, name):
     text = plan(entry.queries()[name](spark, SF_DIR))
     assert "CartesianProduct" not in text and "BatchEvalPython" not in text
