@@ -18,7 +18,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pactmill import session
 
@@ -224,6 +224,13 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", table_bytes:
 
 
 def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", table_bytes: int = TABLE_BYTES) -> DataFrame:
-    """The rows of ``df`` that stay, all their columns as they are. Keys must be unique and not null."""
-    kept = groups(df, key, text, table_bytes).where("kept").select(F.col(key).alias("_kept_key"))
-    return df.join(kept, df[key].cast("bigint") == kept["_kept_key"], "left_semi")
+    """The rows of ``df`` that stay, all their columns as they are. Of rows that agree in key and text one stays."""
+    found = groups(df, key, text, table_bytes).where("kept").select(F.col(key).alias("_key"), "text_sha256")
+    lowered = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    rows = df.select(
+        F.struct("*").alias("row"), F.col(key).cast("bigint").alias("_key"), F.sha2(lowered.cast("binary"), 256).alias("_sha")
+    )
+    alike = (rows["_key"].eqNullSafe(found["_key"])) & (rows["_sha"] == found["text_sha256"])
+    one = Window.partitionBy("_key", "_sha").orderBy("_key")  # the join has put these together
+    kept = rows.join(found, alike, "left_semi").withColumn("_n", F.row_number().over(one)).where("_n = 1")
+    return kept.select("row.*")

@@ -48,8 +48,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     rest = F.sum("source_size").over(Window.partitionBy()) - F.coalesce(F.sum("_cap").over(before), F.lit(0))
     level = limited.withColumn("_level", rest.cast("double") / F.sum("_w").over(after))
     # the first place whose level stays below its own limit sets the level for all from there on
-    settled = F.min(F.when(F.col("_level") <= F.col("_ratio"), F.col("_level"))).over(Window.partitionBy())
-    return level.withColumn("_settled", settled).select(
+    place = F.when(F.col("_level") <= F.col("_ratio"), F.struct("_ratio", "_i", "_level"))
+    return level.withColumn("_settled", F.min(place).over(Window.partitionBy())["_level"]).select(
         "source", "source_size",
         F.least(F.col("_cap").cast("double"), F.coalesce(F.col("_settled"), F.lit(0.0)) * F.col("_w")).alias("target"),
     )
@@ -103,9 +103,10 @@ def thresholds(sized: DataFrame, budgets: DataFrame, n_sources: int, levels: lis
 
 def mixed(
     df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 0,
-    weights: tuple[int, ...] = WEIGHTS, most: int = MOST_PASSES,
+    weights: tuple[int, ...] = WEIGHTS, most: int = MOST_PASSES, whole_rows: bool = False,
 ) -> DataFrame:
-    """One row per input row: key, size, source_size, target and taken.
+    """One row per input row: key (or, with ``whole_rows``, all its columns as a struct ``row``), size, source_size, target
+    and taken.
 
     ``size`` counts the words of the whole text, none for null. A source is taken in whole passes plus, by hash, those
     documents that fill up the rest of its target; the document at the boundary is taken if that comes nearer to the
@@ -117,7 +118,7 @@ def mixed(
     tie = F.pmod(F.xxhash64(F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")), F.monotonically_increasing_id()), F.lit(1 << HASH_BITS))
     rows = session.stored(
         df.select(
-            F.col(key).alias("key"), F.col(source).alias("source"), _words(F.col(text)).alias("size"),
+            (F.struct("*") if whole_rows else F.col(key)).alias("row"), F.col(source).alias("source"), _words(F.col(text)).alias("size"),
             F.coalesce(own, F.lit(0)).alias("hash"), tie.alias("tie"),
         ),
         "document-sizes",
@@ -147,7 +148,13 @@ def mixed(
     extra = F.when(first < F.col("path"), 1).when((first == F.col("path")) & F.col("extra"), 1).otherwise(0)
     taken = joined.join(_bounded(plan, n_sources), "source_no", "left")
     return taken.select(
-        F.col("key").alias(key), "size", "source_size", "target",
+        F.col("row").alias("row" if whole_rows else key), "size", "source_size", "target",
         (F.col("size") * (F.coalesce("passes", F.lit(0)) + F.when(F.col("path").isNull(), 0).otherwise(extra)))
         .cast("bigint").alias("taken"),
     )
+
+
+def mixture(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 0) -> DataFrame:
+    """The rows of the mix with all columns of ``df``, a row as often as it is taken."""
+    found = mixed(df, key, text, source, seed, whole_rows=True).where("taken > 0")
+    return found.select("row", F.explode(F.sequence(F.lit(1), F.expr("taken div size").cast("int")))).select("row.*")

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pactmill import session
-from pactmill.llm import exact_dedup, mixing, sharding, wildcard_urls as urls
+from pactmill.llm import (
+    byte_bpe, exact_dedup, language_id, main_text, mixing, near_dedup, pivot_search, sharding, toxicity,
+    wildcard_urls as urls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +52,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def held_out(divisor: int, remainder: int):
+    return language_id.remainder("doc_id", divisor) == remainder
+
+
+@query("op1_near_dedup")
+def near(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op2_main_text")
+def page_text(spark, sf_dir):
+    texts = main_text.extracted(table(spark, sf_dir, "pages"), also=("url",))
+    return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
+@query("op3_toxicity")
+def toxic(spark, sf_dir):
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(documents, labels.where(~held_out(5, 0)))
+    return toxicity.scored(documents, model).select(
+        "doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 @query("op4_exact_dedup", f"""
     WITH t AS (SELECT doc_id, {LOWERED} AS low FROM documents),
     g AS (SELECT low, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY low)
@@ -56,6 +84,14 @@ def exact(spark, sf_dir):
     return exact_dedup.groups(table(spark, sf_dir, "documents"))
 
 
+@query("op5_language")
+def language(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    net = language_id.fit(documents.where(~held_out(4, 2)))
+    found = language_id.predicted(documents.select("doc_id", "text"), net).select("row.doc_id", "lang_pred", "score")
+    return found.withColumn("held_out", held_out(4, 2))
+
+
 @query("op6_shards")
 def shards(spark, sf_dir):
     placed = sharding.sharded(table(spark, sf_dir, "documents"), SHARDS, seed=SEED)
@@ -96,13 +132,14 @@ def url_verdicts(spark, sf_dir):
                3 * source_size AS cap
         FROM s),
     l AS (
-        SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap::DOUBLE / w, source NULLS LAST
+        SELECT *, row_number() OVER (ORDER BY cap::DOUBLE / w, source NULLS LAST) AS place, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap::DOUBLE / w, source NULLS LAST
                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT::DOUBLE
                / (sum(w) OVER (ORDER BY cap::DOUBLE / w, source NULLS LAST
                   ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS lev
         FROM w),
     t AS (
-        SELECT source, source_size, least(cap::DOUBLE, w * min(CASE WHEN lev <= cap::DOUBLE / w THEN lev END) OVER ()) AS target
+        SELECT source, source_size,
+               least(cap::DOUBLE, w * (SELECT arg_min(lev, place) FROM l WHERE lev <= cap::DOUBLE / w)) AS target
         FROM l),
     p AS (
         SELECT d.*, source_size, target, least(floor(target / source_size), 3)::BIGINT AS passes,
@@ -117,3 +154,27 @@ def url_verdicts(spark, sf_dir):
     FROM p""")
 def source_mix(spark, sf_dir):
     return mixing.mixed(table(spark, sf_dir, "documents"), seed=SEED)
+
+
+@query("op9_vector_topk", """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS c FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+        SELECT q.vec_id AS query_id, x.vec_id,
+               list_sum(list_transform(list_zip(q.c, x.c), lambda p: p[1] * p[2]))::BIGINT AS score
+        FROM v q JOIN v x ON q.vec_id % 100 = 0 AND q.vec_id <> x.vec_id),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+    SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 10""")
+def vector_topk(spark, sf_dir):
+    return pivot_search.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
+@query("op10_byte_bpe")
+def bpe(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = byte_bpe.coded(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
