@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from pactmill import session
 
@@ -41,13 +42,13 @@ def fisher_yates(n: int, seed: list[int]) -> np.ndarray:
     return order
 
 
-def _shuffled(seed: int):
+def _shuffled(seed: int, row_type: pa.DataType):
     def run(table: pa.Table) -> pa.Table:
         """One bucket. Rows are first put in an order of their own, so the result does not depend on their arrival."""
         bucket = table.column("bucket")[0].as_py()
         settled = pc.sort_indices(table.select(["settle", "tie"]), [("settle", "ascending"), ("tie", "ascending")])
         order = settled.take(pa.array(fisher_yates(len(table), [seed, bucket])))
-        rows = table.column("row").take(order)
+        rows = table.column("row").take(order).cast(row_type)
         return pa.table({"bucket": table.column("bucket"), "pos": pa.array(np.arange(len(table))), "row": rows})
 
     return run
@@ -67,7 +68,8 @@ def write_shuffled(
         F.coalesce(F.col(key).cast("bigint"), F.lit(-(1 << 63))).alias("tie"),
     ).withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "settle"), F.lit(buckets)))
     shape = f"bucket bigint, pos bigint, row {df.schema.simpleString()}"
-    placed.groupBy("bucket").applyInArrow(_shuffled(seed), shape).write.parquet(folder)
+    row_type = to_arrow_type(df.sparkSession.createDataFrame([], shape).schema["row"].dataType)  # all fields may be null
+    placed.groupBy("bucket").applyInArrow(_shuffled(seed, row_type), shape).write.parquet(folder)
     return df.sparkSession.read.schema(shape).parquet(folder)
 
 
