@@ -18,12 +18,13 @@ def example(instruction: Column, response: Column, system: Column | None = None)
 
 
 def render(messages: Column) -> Column:
-    """ChatML text of an array of (role, content) messages, without a generation marker."""
+    """ChatML text of an array of (role, content) messages, without a generation marker. A NULL role or content counts as
+    empty."""
     return F.array_join(
         F.transform(
             messages,
             lambda m: F.concat(
-                F.lit(fv.IM_START), m["role"], F.lit("\n"), F.coalesce(m["content"], F.lit("")),
+                F.lit(fv.IM_START), F.coalesce(m["role"], F.lit("")), F.lit("\n"), F.coalesce(m["content"], F.lit("")),
                 F.lit(fv.IM_END + "\n"),
             ),
         ),

@@ -45,15 +45,6 @@ def strict_json(text: Column) -> Column:
     return is_strict(wrapped(text), text)
 
 
-def opaque(column: Column) -> Column:
-    """The same values, but Spark will not move a filter on them below the projection that makes them.
-
-    A filter pushed under several steps of parsing would repeat all of them. Passes that do not need the column still
-    drop it.
-    """
-    return column + F.spark_partition_id() * 0
-
-
 def braces_slice(raw: Column) -> Column:
     """From the first ``{`` to the last ``}``; NULL when there is no such span. The slice is not stripped."""
     first = F.instr(raw, "{")
@@ -79,6 +70,11 @@ def encode_call(call: Column) -> Column:
     return F.to_json(call, {"ignoreNullFields": "false"})
 
 
+def _storable(text: str) -> str:
+    """Text that can be stored: half of a surrogate pair, which JSON can escape, becomes the replacement character."""
+    return text.encode("utf-8", "surrogatepass").decode("utf-8", "replace") if not text.isascii() else text
+
+
 def indented(json_text: Column, width: int) -> Column:
     """Re-indent JSON text, keeping key order and non-ASCII characters; text that is not JSON comes back as it is."""
 
@@ -88,8 +84,8 @@ def indented(json_text: Column, width: int) -> Column:
             if value is None:
                 return None
             try:
-                return json.dumps(json.loads(value), ensure_ascii=False, indent=width)
-            except ValueError:
+                return _storable(json.dumps(json.loads(value), ensure_ascii=False, indent=width))
+            except (ValueError, RecursionError):
                 return value
 
         return texts.map(one)
@@ -108,11 +104,11 @@ def exact_facts(*candidates: Column) -> Column:
         for number, text in enumerate(texts, 1):
             try:
                 found = json.loads(text) if text is not None else ...
-            except ValueError:
+            except (ValueError, RecursionError):  # nested deeper than Python's reader goes: not read
                 continue
             if isinstance(found, dict):
-                checked = [v if isinstance(v := found.get(name), str) else None for name in ("method", "endpoint")]
-                return (number, text, list(found), *checked)
+                checked = [_storable(v) if isinstance(v := found.get(name), str) else None for name in ("method", "endpoint")]
+                return (number, text, [_storable(key) for key in found], *checked)
             if found is not ...:
                 return (number, text, None, None, None)
         return (0, None, None, None, None)

@@ -50,8 +50,12 @@ def token_count(text: Column) -> Column:
 
 
 def capped(text: Column, cap: int = fv.MAX_SEQ_LENGTH) -> Column:
-    """The first ``cap`` proxy tokens joined by single spaces."""
-    return F.array_join(F.slice(tokens(text), 1, cap), " ")
+    """The text up to the end of its ``cap``-th proxy token, white space as it is."""
+    blank = F.substring(text, 1, 1).isin(*" \t\r\n")  # then the first piece is the empty one before it
+    pieces = F.when(blank, F.split(text, r"[ \t\r\n]+", cap + 2)).otherwise(F.split(text, r"[ \t\r\n]+", cap + 1))
+    rest = F.element_at(pieces, -1)
+    inside = F.rtrim(F.substring(text, F.lit(1), F.length(text) - F.length(rest)), F.lit(" \t\r\n"))
+    return F.when(F.size(pieces) == F.when(blank, cap + 2).otherwise(cap + 1), inside).otherwise(text)
 
 
 def minutes(seconds: Column) -> Column:

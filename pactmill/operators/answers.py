@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from pactmill import fixed_values as fv, session
+
 PART_ROWS = 65_536
 
 
@@ -15,10 +18,10 @@ def assemble(
     chunks: DataFrame, request: str = "request_id", seq: str = "seq", content: str = "content",
     part_rows: int = PART_ROWS,
 ) -> DataFrame:
-    """Concatenate chunk contents in sequence order; chunks after the final marker still count.
+    """Concatenate chunk contents in sequence order, one row per request; chunks after the final marker still count.
 
-    A request of more than ``part_rows`` chunks becomes several rows, numbered by ``part``; each group is bounded
-    and the answers of the parts follow each other unchanged.
+    Chunks are gathered and sorted in parts of ``part_rows``; the texts of a request's parts are then joined. Only an
+    answer that does not fit in one value (2 GB) fails, as it must.
     """
     part = F.expr(f"{seq} div {part_rows}").alias("part")
     gathered = F.sort_array(F.collect_list(F.struct(F.col(seq).alias("seq"),
@@ -26,7 +29,10 @@ def assemble(
     return (
         chunks.groupBy(request, part)
         .agg(gathered.alias("chunks"))
-        .select(request, "part", F.array_join(F.col("chunks.content"), "").alias("answer"))
+        .select(request, "part", F.array_join(F.col("chunks.content"), "").alias("text"))
+        .groupBy(request)
+        .agg(F.sort_array(F.collect_list(F.struct("part", "text"))).alias("parts"))
+        .select(request, F.array_join(F.col("parts.text"), "").alias("answer"))
     )
 
 
@@ -43,13 +49,31 @@ def pair_with_cases(cases: DataFrame, answers: DataFrame, key: str = "case_id",
     return together.withColumn(answer, F.coalesce(F.col(answer), F.lit("")))
 
 
+def _answer(model: Callable[[str], str], text: str, limit_s: float) -> tuple[str, str | None]:
+    """Answer and error of one call. A call that takes longer than the limit is left behind in its thread."""
+    said: list[tuple[str, str | None]] = []
+
+    def call() -> None:
+        try:
+            said.append((model(text), None))
+        except Exception as failure:  # noqa: BLE001 - any failure of the caller's model is recorded
+            said.append(("", f"{type(failure).__name__}: {failure}"))
+
+    thread = threading.Thread(target=call, daemon=True)
+    thread.start()
+    thread.join(limit_s)
+    return said[0] if said else ("", f"TimeoutError: no answer within {limit_s:g} s")
+
+
 def generate(
     df: DataFrame, instruction: str, load: Callable[[], Callable[[str], str]], keep: list[str],
+    limit_s: float = fv.TIMEOUT_SECONDS,
 ) -> DataFrame:
-    """Run a caller's model over every instruction.
+    """Run a caller's model over every instruction and store what it says, so that nothing that reads the result calls the
+    model again.
 
-    ``load`` is called once per partition and returns the function from instruction to answer. A failed call gives
-    the empty answer and its error text; the job goes on.
+    ``load`` is called once per partition and returns the function from instruction to answer. A call that fails, or
+    takes longer than ``limit_s`` seconds, gives the empty answer and its error text; the job goes on.
     """
     kept = df.select(*keep, F.col(instruction).alias("instruction"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
@@ -60,13 +84,11 @@ def generate(
             answers, errors, elapsed = [], [], []
             for text in batch["instruction"]:
                 began = time.perf_counter()
-                try:
-                    answers.append(answer_one(text))
-                    errors.append(None)
-                except Exception as failure:  # noqa: BLE001 - any failure of the caller's model is recorded
-                    answers.append("")
-                    errors.append(f"{type(failure).__name__}: {failure}")
+                answer, error = _answer(answer_one, text, limit_s)
+                answers.append(answer)
+                errors.append(error)
                 elapsed.append(int((time.perf_counter() - began) * 1000))
             yield batch.assign(raw=answers, error=errors, elapsed_ms=elapsed)
 
-    return kept.mapInPandas(run, f"{schema}, raw string, error string, elapsed_ms bigint")
+    answered = kept.mapInPandas(run, f"{schema}, raw string, error string, elapsed_ms bigint")
+    return session.stored(answered, "generated")

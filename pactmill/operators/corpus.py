@@ -8,7 +8,6 @@ from pactmill import fixed_values as fv
 from pactmill.functions import chat, jsontext as jx, text as tx
 
 PART_ROWS = 65_536
-MAX_ACTIONS = 1_000
 
 
 def adapt(df: DataFrame, mapping: dict[str, str], key: list[str]) -> DataFrame:
@@ -35,25 +34,31 @@ def conversations(
     turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
     part_rows: int = PART_ROWS,
 ) -> DataFrame:
-    """Turns to ordered messages. A conversation of more than ``part_rows`` turns becomes several rows, numbered by
-    ``part``, so no group is ever larger than that; rendered texts of the parts follow each other unchanged."""
+    """Turns to ordered messages, one row per conversation.
+
+    Turns are gathered and sorted in parts of ``part_rows``, and the parts of a conversation are then put in a row. Only a conversation
+    that does not fit in one value (2 GB) fails, as it must.
+    """
     part = F.expr(f"{turn} div {part_rows}").alias("part")
     gathered = F.sort_array(F.collect_list(F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"),
                                                     F.col(text).alias("content"))))
     return (
         turns.groupBy(conv, part)
         .agg(gathered.alias("turns"))
-        .select(conv, "part", F.transform("turns", lambda t: F.struct(t["role"], t["content"])).alias("messages"))
+        .groupBy(conv)
+        .agg(F.sort_array(F.collect_list(F.struct("part", "turns"))).alias("parts"))
+        .select(conv, F.flatten("parts.turns").alias("turns"))
+        .select(conv, F.transform("turns", lambda t: F.struct(t["role"], t["content"])).alias("messages"))
     )
 
 
 def action_grid(categories: DataFrame, column: str, actions: list[str]) -> DataFrame:
-    """Every category with every action. ``actions`` is a short parameter list held in the plan, not a table."""
-    if len(actions) > MAX_ACTIONS:
-        raise ValueError(f"at most {MAX_ACTIONS} actions, got {len(actions)}")
-    listed = F.array(*[F.lit(a) for a in actions])
-    return categories.select(F.col(column).alias("category")).distinct().select(
-        "category", F.explode(listed).alias("action")
+    """Every category with every action. ``actions`` is a parameter list of any length."""
+    listed = categories.sparkSession.createDataFrame([(list(actions),)], "actions array<string>")
+    named = categories.select(F.col(column).alias("category")).distinct().withColumn("_one", F.lit(1))
+    # the one row that holds the list
+    return named.join(F.broadcast(listed.withColumn("_one", F.lit(1))), "_one").select(
+        "category", F.explode("actions").alias("action")
     )
 
 

@@ -35,10 +35,10 @@ def _extract_native(df: DataFrame, raw: str) -> DataFrame:
         return F.when(ok[0], F.col(f"_{name}1")).when(ok[1], F.col(f"_{name}2")).when(ok[2], F.col(f"_{name}3"))
 
     strategy = F.when(ok[0], 1).when(ok[1], 2).when(ok[2], 3).otherwise(0)
-    rows = rows.select(
-        *df.columns, jx.opaque(strategy).alias("strategy"), first_success("t").alias("json_text"),
-        first_success("v").alias("_v"),
-    )
+    # Behind a generator of one row: Spark moves filters on other columns below it, down to the scan, and leaves those on
+    # its output above, where they do not repeat the parsing
+    outcome = F.struct(strategy.alias("strategy"), first_success("t").alias("json_text"), first_success("v").alias("_v"))
+    rows = rows.select(*df.columns, F.inline(F.array(outcome)))
     # one cast reads all fields of an object: one holding JSON null is a non-NULL variant, an absent one is NULL
     fields = ", ".join(f"{name} variant" for name in _FACTS)
     rows = rows.withColumn("_f", F.try_variant_get("_v", "$[0]", f"struct<{fields}>"))
@@ -111,6 +111,12 @@ def quarantine(extracted: DataFrame, raw: str = "raw", keep: tuple[str, ...] = (
     return extracted.where(F.col("status") != "ok").select(*keep, "status", F.col(raw).alias("raw"))
 
 
+def mean_latency(rows: DataFrame, elapsed_ms: str = "elapsed_ms") -> DataFrame:
+    """Mean latency in seconds; needs no evaluation, so pass the answers themselves."""
+    mean = F.try_divide(F.sum(elapsed_ms), F.count(F.lit(1)) * 1000)
+    return rows.agg(F.round(mean, 6).alias("mean_latency_s"))
+
+
 def summary(evaluated: DataFrame, by: list[str] | None = None, elapsed_ms: str | None = "elapsed_ms") -> DataFrame:
     """Valid cases, total, ratio, mean score, mean latency and verdict; one small partial-aggregated exchange.
 
@@ -138,8 +144,9 @@ def summary(evaluated: DataFrame, by: list[str] | None = None, elapsed_ms: str |
     return total.select(*out)
 
 
-def detail(evaluated: DataFrame, key: str = "case_id") -> DataFrame:
-    """Evaluated rows with their 1-based place by key, stored as a column (``i``) with the total (``n``)."""
-    placed = ordering.with_position(evaluated, key, "i")
-    n = evaluated.count()
-    return placed.withColumn("n", F.lit(n).cast("bigint"))
+def detail(rows: DataFrame, key: str = "case_id") -> DataFrame:
+    """Rows with their 1-based place by key, stored as a column (``i``) with the total (``n``).
+
+    Number the answers first and evaluate them after: numbering reads the keys several times.
+    """
+    return ordering.with_position(rows, key, "i", "n")

@@ -4,20 +4,25 @@ Two needs, two ways:
 
 * A *cut* (the first k rows by some order) needs only the key value at position k. It is found by counting rows per
   cell and narrowing to the cell that holds position k; the rows themselves never move.
-* A *position* (or running sum) for every row is an offset per bucket plus a window inside the bucket. Buckets are
-  ranges of the key with about equal row counts, whatever the spacing of the keys.
+* A *position* (or running sum) for every row is an offset per bucket plus a window inside the bucket. Buckets are the
+  partitions of a range partitioning of the narrow (key, weight) rows, stored once, so that they stay what they are. Their
+  number follows the rows; the plan is the same at every size.
 
-Only per-cell counts reach the driver, at most ``CELLS`` rows per round.
+Only per-cell counts reach the driver, at most ``CELLS`` rows per round. Offsets are one row per bucket, that is one per
+``ROWS_PER_BUCKET`` rows, or per shuffle partition if those are more: 100,000 of them for 10^11 rows.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pactmill import session
+
 CELLS = 4096
 HEX_DIGITS = 3  # 16**3 == CELLS
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 1_000_000
 
 
 def digest(*parts: Column) -> Column:
@@ -54,12 +59,14 @@ def key_cut(df: DataFrame, key: str, k: int) -> int | None:
     """Largest key value among the first ``k`` rows by an integer key (or a value with the same effect)."""
     if k <= 0:
         return None
-    rows = df.select(F.col(key).cast("decimal(20,0)").alias("k"))
-    low, high = map(int, rows.agg(F.min("k"), F.max("k")).first())
+    low, high = map(int, df.agg(F.min(key), F.max(key)).first())
+    kind = df.schema[key].dataType
     while True:
         width = (high - low) // CELLS + 1
-        cell = F.expr(f"cast(k - {low} as decimal(20,0)) div {width}").alias("cell")
-        cells = [tuple(r) for r in rows.where(F.col("k").between(low, high)).groupBy(cell).count().collect()]
+        # the plain column is compared, so that a scan can skip what lies outside
+        inside = F.col(key).between(F.lit(Decimal(low)).cast(kind), F.lit(Decimal(high)).cast(kind))
+        cell = F.expr(f"cast(cast(`{key}` as decimal(20,0)) - {low} as decimal(20,0)) div {width}").alias("cell")
+        cells = [tuple(r) for r in df.where(inside).groupBy(cell).count().collect()]
         value, n, k = _cell_holding(cells, k)
         low, high = low + value * width, min(high, low + (value + 1) * width - 1)
         if n == k:
@@ -68,57 +75,52 @@ def key_cut(df: DataFrame, key: str, k: int) -> int | None:
             raise ValueError(f"{key} is not unique, so the split has no exact size")
 
 
-def key_edges(df: DataFrame, key: str) -> list[float]:
-    """Boundaries that cut a numeric key into buckets of about ``ROWS_PER_BUCKET`` rows, at most ``CELLS`` buckets.
-
-    They are approximate quantiles fetched once, so a bucket stays a pure function of the key however often the rows
-    are read. Empty when all rows fit one bucket.
-    """
-    n, n_key = df.agg(F.count(F.lit(1)), F.count(key)).first()
-    if n != n_key:
-        raise ValueError(f"{key} must not be null")
-    wanted = min(CELLS, -(-n // ROWS_PER_BUCKET))
-    if wanted <= 1:
-        return []
-    shares = ", ".join(f"{i / wanted}D" for i in range(1, wanted))
-    edges = F.expr(f"percentile_approx(`{key}`, array({shares}), {4 * CELLS})")
-    return sorted({float(edge) for edge in df.agg(edges).first()[0]})
-
-
-def with_key_buckets(df: DataFrame, key: str, edges: list[float], out: str = "_bucket") -> DataFrame:
-    """Add a bucket number that grows with the key."""
-    splits = [float("-inf"), *edges, float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="_key_double", outputCol="_place").transform(
-        df.withColumn("_key_double", F.col(key).cast("double"))
-    )
-    return bucketed.withColumn(out, F.col("_place").cast("int")).drop("_key_double", "_place")
+def hex_digits(rows: int) -> int:
+    """Hash digits that name about one bucket per ``ROWS_PER_BUCKET`` rows, at least ``HEX_DIGITS``."""
+    digits = HEX_DIGITS
+    while 16**digits * ROWS_PER_BUCKET < rows:
+        digits += 1
+    return digits
 
 
 def bucket_offsets(df: DataFrame, bucket: str, weight: Column, within: list[str] | None = None) -> DataFrame:
-    """Sum of ``weight`` before each bucket. One row per bucket, at most ``CELLS`` per ``within`` group."""
+    """Sum of ``weight`` before each bucket, one row per bucket (of each ``within`` group)."""
     within = within or []
     totals = df.groupBy(*within, bucket).agg(F.sum(weight).alias("_total"))
     before = Window.partitionBy(*within).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(*within, bucket, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
 
 
-def with_running_start(df: DataFrame, key: str, weight: Column, out: str) -> DataFrame:
-    """Add the sum of ``weight`` over all rows with a smaller key, exactly, in one shuffle of the given columns."""
-    edges = key_edges(df, key)
-    if not edges:  # at most ROWS_PER_BUCKET rows
-        whole = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(out, F.coalesce(F.sum(weight.cast("bigint")).over(whole), F.lit(0)))
-    rows = with_key_buckets(df, key, edges).withColumn("_weight", weight.cast("bigint"))
+def running_starts(df: DataFrame, key: str, weight: Column, out: str) -> tuple[DataFrame, int]:
+    """For every key the sum of ``weight`` over all rows with a smaller key, exactly; and the number of rows.
+
+    Only (key, weight) moves. A null key is refused at once, a repeated one when the rows are read: equal keys fall into
+    the same range, next to each other.
+    """
+    n, n_key = df.agg(F.count(F.lit(1)), F.count(key)).first()
+    if n != n_key:
+        raise ValueError(f"{key} must not be null")
+    parts = max(-(-n // ROWS_PER_BUCKET), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranged = df.select(key, weight.cast("bigint").alias("_weight")).repartitionByRange(parts, key)
+    rows = session.stored(ranged.withColumn("_bucket", F.spark_partition_id()), "key-ranges")
     offsets = bucket_offsets(rows, "_bucket", F.col("_weight"))
-    before = Window.partitionBy("_bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    # offsets: one row per bucket, at most CELLS rows
-    return (
-        rows.join(F.broadcast(offsets), "_bucket")
-        .withColumn(out, F.col("_offset") + F.coalesce(F.sum("_weight").over(before), F.lit(0)))
-        .drop("_bucket", "_weight", "_offset")
+    inside = Window.partitionBy("_bucket").orderBy(key)
+    start = F.coalesce(F.sum("_weight").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    repeated = F.raise_error(F.lit(f"{key} is not unique, so rows have no place")).cast("bigint")
+    # offsets: one row per bucket
+    starts = rows.join(F.broadcast(offsets), "_bucket").select(
+        key, F.when(F.lag(key).over(inside) == F.col(key), repeated).otherwise(F.col("_offset") + start).alias(out)
     )
+    return starts, n
+
+
+def with_running_start(df: DataFrame, key: str, weight: Column, out: str) -> DataFrame:
+    """Add the sum of ``weight`` over all rows with a smaller key."""
+    return df.join(running_starts(df, key, weight, out)[0], key)
 
 
-def with_position(df: DataFrame, key: str, out: str) -> DataFrame:
-    """Add the 1-based global position by a unique numeric key."""
-    return with_running_start(df, key, F.lit(1), out).withColumn(out, F.col(out) + 1)
+def with_position(df: DataFrame, key: str, out: str, total: str | None = None) -> DataFrame:
+    """Add the 1-based global position by a unique key, and the number of rows if ``total`` names a column for it."""
+    starts, n = running_starts(df, key, F.lit(1), out)
+    placed = df.join(starts.withColumn(out, F.col(out) + 1), key)
+    return placed.withColumn(total, F.lit(n).cast("bigint")) if total else placed

@@ -19,8 +19,8 @@ def cap_tokens(df: DataFrame, text: str = "text", cap: int = fv.MAX_SEQ_LENGTH)
 
 
 def _starts(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Key, token count and global start of every row that has tokens. The texts are read once: the counts are stored
-    and all numbering runs on that narrow table."""
+    """Key, token count and global start of every row that has tokens. The texts are read once for it: the counts are
+    stored and all numbering runs on that narrow table."""
     counted = session.stored(df.select(key, tx.token_count(F.col(text)).alias("n_tokens")), "token-counts")
     return ordering.with_running_start(counted, key, F.col("n_tokens"), "start").where("n_tokens > 0")
 
@@ -51,7 +51,8 @@ def pack(df: DataFrame, key: str, text: str = "text", cap: int = fv.MAX_SEQ_LENG
     collects at most ``cap`` tokens.
     """
     starts = _starts(df, key, text).drop("n_tokens")
-    rows = df.select(key, tx.tokens(F.col(text)).alias("tokens")).join(starts, key)
+    # the texts are joined, not their tokens, which take several times the room
+    rows = df.select(key, F.col(text).alias("text")).join(starts, key).withColumn("tokens", tx.tokens(F.col("text")))
     # piece b of a row: tokens [max(start, b*cap), min(start+n, (b+1)*cap) ) in global positions
     pieces = F.expr(
         f"""transform(sequence(start div {cap}, (start + size(tokens) - 1) div {cap}), b -> struct(

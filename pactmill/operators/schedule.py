@@ -18,14 +18,16 @@ def batch_plan(
 ) -> DataFrame:
     """Shuffle the keys anew in every epoch and cut them into steps of ``per_device * accumulation`` rows.
 
-    Only the key is carried. Buckets are md5 prefixes, which are even whatever the keys look like.
+    Only the key is carried. Buckets are md5 prefixes, which are even whatever the keys look like; their number follows
+    the rows.
     """
+    digits = ordering.hex_digits(df.count())
     order = df.select(key, F.explode(F.sequence(F.lit(1), F.lit(epochs))).alias("epoch"))
     order = order.withColumn("_h", ordering.digest(F.col(key), F.col("epoch"), F.lit(seed)))
-    order = order.withColumn("_bucket", F.substring("_h", 1, ordering.HEX_DIGITS))
+    order = order.withColumn("_bucket", F.substring("_h", 1, digits))
     offsets = ordering.bucket_offsets(order, "_bucket", F.lit(1), within=["epoch"])
     inside = Window.partitionBy("epoch", "_bucket").orderBy("_h", key)
-    # offsets: at most CELLS rows per epoch
+    # offsets: one row per prefix and epoch
     pos = F.col("_offset") + F.row_number().over(inside) - 1
     per_step = per_device * accumulation
     return (

@@ -45,10 +45,17 @@ NESTED = "nf4_nested"
 NESTED_BITS = 4 + (8 + 64 / GROUP) / 64
 
 
+def usable(vector: str) -> Column:
+    """Whether a vector can be quantized: it is there, and all its elements are finite numbers."""
+    fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce(fine, F.lit(False))
+
+
 def quantize(df: DataFrame, name: str, vector: str = "embedding") -> DataFrame:
-    """Add ``quantized`` (array of scale and codes per block) and ``restored``."""
+    """Add ``quantized`` (array of scale and codes per block) and ``restored``. Both are NULL for a vector with a NULL, NaN
+    or infinite element."""
     fmt = FORMATS[name]
-    return df.withColumn("quantized", fmt.quantize(F.col(vector))).withColumn("restored", fmt.restore(F.col("quantized")))
+    return df.withColumn("quantized", F.when(usable(vector), fmt.quantize(F.col(vector)))).withColumn("restored", fmt.restore(F.col("quantized")))
 
 
 def nested_scales(df: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -59,10 +66,11 @@ def nested_scales(df: DataFrame, key: str = "vec_id", vector: str = "embedding")
     from ten-digit decimals and does not depend on row order.
     """
     n_blocks = F.ceil(F.greatest(F.size(vector), F.lit(0)) / 64)
-    counted = session.stored(df.select(key, n_blocks.alias("_n_blocks")), "block-counts")
+    counted = session.stored(df.where(usable(vector)).select(key, n_blocks.alias("_n_blocks")), "block-counts")
     starts = ordering.with_running_start(counted, key, F.col("_n_blocks"), "_start").drop("_n_blocks")
     scales = (
         df.where(n_blocks > 0)
+        .where(usable(vector))
         .select(key, F.transform(bl.blocks(F.col(vector), 64), bl.largest).alias("s"))
         .join(starts, key)
         .select(key, "_start", F.posexplode("s").alias("block", "scale"))
@@ -97,9 +105,10 @@ def _folded(per_vector: DataFrame, name: str, bits: float) -> DataFrame:
 
 
 def report(df: DataFrame, vector: str = "embedding") -> DataFrame:
-    """Bits per value, bytes, RMSE and largest error per format, all formats in one pass over the vectors."""
+    """Bits per value, bytes, RMSE and largest error per format, all formats in one pass over the vectors. Vectors that cannot
+    be quantized do not count."""
     folds = [F.sum(F.greatest(F.size(vector), F.lit(0))).cast("bigint").alias("n_values")]
-    rows = df
+    rows = df.where(usable(vector))
     for fmt in FORMATS.values():
         error = bl.errors(F.col(vector), fmt.restore(fmt.quantize(F.col(vector))))
         rows = rows.withColumn(f"_{fmt.name}", error)
@@ -129,7 +138,7 @@ def nested_report(df: DataFrame, key: str = "vec_id", vector: str = "embedding")
     block_scales = nested_scales(df, key, vector).groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct("block", "restored_scale"))).alias("s")
     )
-    coded = df.select(key, vector).withColumn("q", bl.nf4(F.col(vector))).join(block_scales, key)
+    coded = df.where(usable(vector)).select(key, vector).withColumn("q", bl.nf4(F.col(vector))).join(block_scales, key)
     rebuilt = F.zip_with(
         "q", "s", lambda b, s: F.struct(s["restored_scale"].alias("scale"), b["codes"].alias("codes"))
     )

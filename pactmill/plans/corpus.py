@@ -112,24 +112,24 @@ def p3_adapt_layout(spark, sf_dir):
     )
 
 
-_CONVERSATIONS_SQL = f"""SELECT conv_id, turn // 65536 AS part, string_agg({_msg("role", "text")}, '' ORDER BY turn) AS text
-FROM conversations GROUP BY conv_id, turn // 65536"""
+_CONVERSATIONS_SQL = f"""SELECT conv_id, string_agg({_msg("role", "text")}, '' ORDER BY turn) AS text
+FROM conversations GROUP BY conv_id"""
 
 
 @query("p4_render_chat", _CONVERSATIONS_SQL)
 def p4_render_chat(spark, sf_dir):
     rows = corpus.conversations(table(spark, sf_dir, "conversations"))
-    return rows.select("conv_id", "part", chat.render(F.col("messages")).alias("text"))
+    return rows.select("conv_id", chat.render(F.col("messages")).alias("text"))
 
 
 @query("a6_conversations", """
-SELECT conv_id, turn // 65536 AS part, count(*) AS n_messages, string_agg(role || ': ' || text, ' / ' ORDER BY turn) AS messages
-FROM conversations GROUP BY conv_id, turn // 65536""")
+SELECT conv_id, count(*) AS n_messages, string_agg(role || ': ' || text, ' / ' ORDER BY turn) AS messages
+FROM conversations GROUP BY conv_id""")
 def a6_conversations(spark, sf_dir):
     rows = corpus.conversations(table(spark, sf_dir, "conversations"))
     line = F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"]))
     return rows.select(
-        "conv_id", "part", F.size("messages").cast("bigint").alias("n_messages"), F.array_join(line, " / ").alias("messages")
+        "conv_id", F.size("messages").cast("bigint").alias("n_messages"), F.array_join(line, " / ").alias("messages")
     )
 
 
@@ -179,7 +179,8 @@ def p9_fixed_width(spark, sf_dir):
 @query("p10_cap_tokens", r"""
 WITH t AS (SELECT doc_id, text, regexp_extract_all(text, '[^ \t\r\n]+') AS ts FROM documents)
 SELECT doc_id, len(ts)::BIGINT AS n_tokens, len(ts) > 2048 AS truncated,
-       CASE WHEN len(ts) > 2048 THEN array_to_string(ts[1:2048], ' ') ELSE text END AS capped_text FROM t""")
+       CASE WHEN len(ts) > 2048 THEN array_to_string(regexp_extract_all(text, '[ \t\r\n]*[^ \t\r\n]+')[1:2048], '')
+            ELSE text END AS capped_text FROM t""")
 def p10_cap_tokens(spark, sf_dir):
     return packing.cap_tokens(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 

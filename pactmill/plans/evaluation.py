@@ -128,7 +128,7 @@ def a3_mean_score(spark, sf_dir):
 @query("a4_mean_latency", f"""WITH {ANSWERS_SQL}
 SELECT round(sum(elapsed_ms)::DOUBLE / (count(*) * 1000), 6) AS mean_latency_s FROM answers""")
 def a4_mean_latency(spark, sf_dir):
-    return ev.summary(_evaluated(spark, sf_dir)).select("mean_latency_s")
+    return ev.mean_latency(_answers(spark, sf_dir))
 
 
 @query("a5_verdict", f"""WITH {JUDGED_SQL},
@@ -142,8 +142,8 @@ def a5_verdict(spark, sf_dir):
 @query("w3_case_detail", f"""WITH {JUDGED_SQL}
 SELECT row_number() OVER (ORDER BY case_id) AS i, count(*) OVER () AS n, case_id, kind, valid, score FROM judged""")
 def w3_case_detail(spark, sf_dir):
-    rows = _evaluated(spark, sf_dir).select("case_id", "kind", "valid", F.round("score", 4).alias("score"))
-    return ev.detail(rows).select("i", "n", "case_id", "kind", "valid", "score")
+    numbered = ev.detail(_answers(spark, sf_dir))
+    return ev.evaluate(numbered).select("i", "n", "case_id", "kind", "valid", F.round("score", 4).alias("score"))
 
 
 @query("n1_pair_cases", f"""WITH {ANSWERS_SQL},
@@ -158,8 +158,8 @@ def n1_pair_cases(spark, sf_dir):
 
 
 @query("a7_assemble_chunks", f"""WITH {CHUNKS_SQL}
-SELECT request_id, seq // 65536 AS part, string_agg(content, '' ORDER BY seq) AS answer
-FROM chunks GROUP BY request_id, seq // 65536""")
+SELECT request_id, string_agg(content, '' ORDER BY seq) AS answer
+FROM chunks GROUP BY request_id""")
 def a7_assemble_chunks(spark, sf_dir):
     return an.assemble(derive.chunks(_answers(spark, sf_dir)))
 

@@ -30,7 +30,7 @@ def a9_best_checkpoint(spark, sf_dir):
 
 
 @query("a10_latest_checkpoint", f"""WITH {METRICS_SQL}
-SELECT run_id, max(step) AS latest_step FROM metrics GROUP BY run_id""")
+SELECT run_id, max(step) AS latest_step FROM metrics WHERE step % 50 = 0 AND step > 0 GROUP BY run_id""")
 def a10_latest_checkpoint(spark, sf_dir):
     return runs.latest_checkpoint(derive.metrics(spark, sf_dir))
 

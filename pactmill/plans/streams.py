@@ -16,14 +16,15 @@ from pactmill.streaming import assembly, scoring
 
 # the watermark trails the latest chunk by this much
 WATERMARK_S = 10
+BUCKETS = 256
 
 # every tenth kind of answer loses its final marker: those requests end by time-out, if the watermark gets that far
 _TIMED_SQL = f"""
 timed AS (SELECT request_id, seq, content, ts, done AND request_id::BIGINT % 10 <> 7 AS done FROM chunks),
-grouped AS (SELECT request_id, seq // 65536 AS part, bool_or(done) AS done, max(ts) AS last_ts,
-                   string_agg(content, '' ORDER BY seq) AS answer FROM timed GROUP BY request_id, seq // 65536),
+grouped AS (SELECT request_id, bool_or(done) AS done, max(ts) AS last_ts,
+                   string_agg(content, '' ORDER BY seq) AS answer FROM timed GROUP BY request_id),
 clock AS (SELECT max(ts) - INTERVAL {WATERMARK_S} SECOND AS mark FROM timed),
-emitted AS (SELECT request_id, part, CASE WHEN done THEN answer ELSE '' END AS answer,
+emitted AS (SELECT request_id, CASE WHEN done THEN answer ELSE '' END AS answer,
                    CASE WHEN done THEN 'done' ELSE 'timeout' END AS how
             FROM grouped, clock WHERE done OR last_ts + INTERVAL 120 SECOND < mark)"""
 
@@ -38,8 +39,7 @@ def _chunk_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    buckets = max(64, table(spark, sf_dir, "orders").count() // 500)
-    return assembly.assembled(_chunk_stream(spark, sf_dir), watermark=f"{WATERMARK_S} seconds", buckets=buckets)
+    return assembly.assembled(_chunk_stream(spark, sf_dir), watermark=f"{WATERMARK_S} seconds", buckets=BUCKETS)
 
 
 def _assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +71,7 @@ def t2_stream_timeouts(spark, sf_dir):
 # requests without a final marker were answered with the empty text
 _SCORED_SQL = f"""WITH {CHUNKS_SQL.replace(derive.ANSWERS_SQL, JUDGED_SQL)}, {_TIMED_SQL},
 scored AS (
-  SELECT e.request_id, e.part, e.how,
+  SELECT e.request_id, e.how,
          CASE WHEN e.how = 'timeout' THEN 'invalid' ELSE j.status END AS status,
          (CASE WHEN e.how = 'timeout' THEN 0 ELSE j.strategy END)::INT AS strategy,
          CASE WHEN e.how = 'timeout' THEN 'endpoint,method,headers,body' ELSE j.missing END AS missing,
@@ -85,7 +85,7 @@ def t3_stream_scoring(spark, sf_dir):
     folder = _scored(spark, sf_dir)
     rows = spark.read.schema(scoring.SCORED).parquet(f"{folder}/out")
     return rows.select(
-        "request_id", "part", "how", "status", "strategy", "missing", "valid", F.round("score", 4).alias("score")
+        "request_id", "how", "status", "strategy", "missing", "valid", F.round("score", 4).alias("score")
     )
 
 

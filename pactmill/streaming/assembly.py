@@ -1,17 +1,16 @@
 """Putting streamed answer chunks together, with a time-out on event time.
 
-A request is handled in parts (``seq div PART_ROWS``), as in the batch form, so one very long request spreads over
-many state rows and tasks. Parts are hashed to ``buckets``; a bucket is one state row. Calls into Python are made per
-bucket and micro-batch, not per request, which is what makes this affordable with many short requests; choose
-``buckets`` so that a bucket holds up to about a thousand open requests.
-
-Within a part:
-
-* an answer is emitted once: when the final chunk and all earlier ones have arrived, or when a part that is not the
-  last one is full;
-* after that a tombstone absorbs late chunks until its time is up;
-* when nothing arrives for ``timeout_s`` of event time the answer becomes the empty text (``how = 'timeout'``), or,
-  if the final chunk had come but earlier ones are missing, the text that did arrive (``how = 'gap'``).
+Requests are hashed to ``buckets``; a bucket is one state row, which holds the chunks of its open requests. Calls into Python are
+made per bucket and micro-batch, not per request, which is what makes this affordable with many short requests. The number of buckets is a
+parameter of the query that must not change while its checkpoint lives; choose it so that a bucket holds up to about a thousand
+open requests.
+
+* An answer is one row, emitted once: when the final chunk and all earlier ones have arrived.
+* After that a tombstone absorbs late chunks until its time is up.
+* When nothing arrives for ``timeout_s`` of event time the answer becomes the empty text (``how = 'timeout'``), or, if the
+  final chunk had come but earlier ones are missing, the text that did arrive (``how = 'gap'``).
+* Rows without request, sequence number or time, such as lines that could not be read, are not chunks: ``assembled`` leaves
+  them out and ``unusable`` gives them.
 
 Time-outs fire only as the watermark moves: a stream that goes quiet does not time out.
 """
@@ -26,19 +25,19 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from pactmill import fixed_values as fv
-from pactmill.operators.answers import PART_ROWS
 
 BUCKETS = 1024
-OUTPUT = "request_id string, part bigint, answer string, how string"
-# open parts, and their chunks; ``owner`` is the place of the chunk's part in the first arrays
+OUTPUT = "request_id string, answer string, how string"
+# open requests, and their chunks; ``owner`` is the place of the chunk's request in the first arrays
 STATE = (
-    "ids array<string>, parts array<bigint>, finals array<bigint>, closed array<boolean>, last_ms array<bigint>, "
+    "ids array<string>, finals array<bigint>, closed array<boolean>, last_ms array<bigint>, "
     "owner array<int>, seqs array<bigint>, texts array<string>"
 )
+_USABLE = "request_id is not null and seq is not null and ts is not null"
 
 
 @dataclass
-class _Part:
+class _Request:
     final: int = -1  # sequence number of the chunk marked final
     closed: bool = False  # already emitted; late chunks are absorbed
     last_ms: int = 0
@@ -47,81 +46,81 @@ class _Part:
     def text(self) -> str:
         return "".join(self.pieces[s] for s in sorted(self.pieces))
 
-    def complete(self, number: int, part_rows: int) -> bool:
-        if len(self.pieces) == part_rows:
-            return True
-        return self.final >= 0 and all(s in self.pieces for s in range(number * part_rows, self.final + 1))
+    def complete(self) -> bool:
+        return self.final >= 0 and len(self.pieces) > self.final and all(s in self.pieces for s in range(self.final + 1))
 
 
-def _loaded(state: GroupState) -> dict[tuple[str, int], _Part]:
+def _loaded(state: GroupState) -> dict[str, _Request]:
     if not state.exists:
         return {}
-    ids, numbers, finals, closed, last_ms, owner, seqs, texts = state.get
-    parts = [_Part(int(f), bool(c), int(t)) for f, c, t in zip(finals, closed, last_ms)]
+    ids, finals, closed, last_ms, owner, seqs, texts = state.get
+    requests = [_Request(int(f), bool(c), int(t)) for f, c, t in zip(finals, closed, last_ms)]
     for at, seq, text in zip(owner, seqs, texts):
-        parts[at].pieces[int(seq)] = text
-    return {(i, int(n)): part for i, n, part in zip(ids, numbers, parts)}
+        requests[at].pieces[int(seq)] = text
+    return dict(zip(ids, requests))
 
 
-def _stored(open_parts: dict[tuple[str, int], _Part]) -> tuple:
-    parts = list(open_parts.values())
-    chunks = [(at, seq, text) for at, part in enumerate(parts) for seq, text in part.pieces.items()]
+def _stored(open_: dict[str, _Request]) -> tuple:
+    requests = list(open_.values())
+    chunks = [(at, seq, text) for at, one in enumerate(requests) for seq, text in one.pieces.items()]
     return (
-        [key[0] for key in open_parts], [key[1] for key in open_parts], [p.final for p in parts],
-        [p.closed for p in parts], [p.last_ms for p in parts], *[[c[i] for c in chunks] for i in range(3)],
+        list(open_), [r.final for r in requests], [r.closed for r in requests], [r.last_ms for r in requests],
+        *[[c[i] for c in chunks] for i in range(3)],
     )
 
 
-def _step(part_rows: int, timeout_ms: int):
+def _step(timeout_ms: int):
     def run(_: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        open_parts, touched, emitted = _loaded(state), set(), []
+        open_, touched, emitted = _loaded(state), set(), []
         if not state.hasTimedOut:
             for rows in batches:
-                columns = (rows[c].tolist() for c in ("request_id", "part", "seq", "ms", "content", "done"))
-                for request, number, seq, ms, content, done in zip(*columns):
-                    key = (request, number)
-                    part = open_parts.setdefault(key, _Part())
-                    part.last_ms = max(part.last_ms, ms)
+                columns = (rows[c].tolist() for c in ("request_id", "seq", "ms", "content", "done"))
+                for key, seq, ms, content, done in zip(*columns):
+                    request = open_.setdefault(key, _Request())
+                    request.last_ms = max(request.last_ms, ms)
                     touched.add(key)
-                    if part.closed:
+                    if request.closed:
                         continue
-                    part.pieces[seq] = content or ""
+                    request.pieces[seq] = content or ""
                     if done:
-                        part.final = seq if part.final < 0 else min(part.final, seq)
+                        request.final = seq if request.final < 0 else min(request.final, seq)
         for key in touched:
-            part = open_parts[key]
-            if not part.closed and part.complete(key[1], part_rows):
-                emitted.append((*key, part.text(), "done" if part.final >= 0 else "part"))
-                part.closed, part.pieces = True, {}
+            request = open_[key]
+            if not request.closed and request.complete():
+                emitted.append((key, request.text(), "done"))
+                request.closed, request.pieces = True, {}
 
         mark = state.getCurrentWatermarkMs()
-        for key in [k for k, p in open_parts.items() if k not in touched and p.last_ms + timeout_ms < mark]:
-            part = open_parts.pop(key)
-            if not part.closed:
-                emitted.append((*key, part.text(), "gap") if part.final >= 0 else (*key, "", "timeout"))
-
-        if open_parts:
-            state.update(_stored(open_parts))
-            due = min(p.last_ms for p in open_parts.values()) + timeout_ms
+        for key in [k for k, r in open_.items() if k not in touched and r.last_ms + timeout_ms < mark]:
+            request = open_.pop(key)
+            if not request.closed:
+                emitted.append((key, request.text(), "gap") if request.final >= 0 else (key, "", "timeout"))
+
+        if open_:
+            state.update(_stored(open_))
+            due = min(r.last_ms for r in open_.values()) + timeout_ms
             state.setTimeoutTimestamp(max(due, mark + 1))  # a timer behind the watermark is an error
         else:
             state.remove()
         if emitted:
-            yield pd.DataFrame(emitted, columns=["request_id", "part", "answer", "how"])
+            yield pd.DataFrame(emitted, columns=["request_id", "answer", "how"])
 
     return run
 
 
+def unusable(chunks: DataFrame) -> DataFrame:
+    """Rows that are no chunks, as they are: a stream of its own for a quarantine."""
+    return chunks.where(f"not ({_USABLE})")
+
+
 def assembled(
-    chunks: DataFrame, timeout_s: int = fv.TIMEOUT_SECONDS, watermark: str = "10 seconds", part_rows: int = PART_ROWS,
-    buckets: int = BUCKETS,
+    chunks: DataFrame, timeout_s: int = fv.TIMEOUT_SECONDS, watermark: str = "10 seconds", buckets: int = BUCKETS,
 ) -> DataFrame:
     """Stream of (request_id, seq, ts, content, done) to a stream of answers."""
-    part = F.expr(f"seq div {part_rows}")
-    keyed = chunks.withWatermark("ts", watermark).select(
-        F.pmod(F.xxhash64("request_id", part), F.lit(buckets)).alias("bucket"),
-        "request_id", part.alias("part"), "seq", "ts", F.unix_millis("ts").alias("ms"), "content", "done",
+    keyed = chunks.where(_USABLE).withWatermark("ts", watermark).select(
+        F.pmod(F.xxhash64("request_id"), F.lit(buckets)).alias("bucket"),
+        "request_id", "seq", "ts", F.unix_millis("ts").alias("ms"), "content", "done",
     )
     return keyed.groupBy("bucket").applyInPandasWithState(
-        _step(part_rows, timeout_s * 1000), OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout
+        _step(timeout_s * 1000), OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout
     )

@@ -8,14 +8,14 @@ from pyspark.sql.streaming import StreamingQuery
 from pactmill.operators import evaluation
 
 SCORED = (
-    "request_id string, part bigint, how string, status string, strategy int, missing string, method_valid boolean, "
+    "request_id string, how string, status string, strategy int, missing string, method_valid boolean, "
     "endpoint_valid boolean, valid boolean, score double, batch_id bigint"
 )
 
 
 def _scored(answers: DataFrame) -> DataFrame:
     return evaluation.evaluate(answers, "answer").select(
-        "request_id", "part", "how", "status", "strategy", F.array_join("missing", ",").alias("missing"),
+        "request_id", "how", "status", "strategy", F.array_join("missing", ",").alias("missing"),
         "method_valid", "endpoint_valid", "valid", "score",
     )
 
@@ -29,25 +29,30 @@ def start_scoring(answers: DataFrame, out: str, checkpoint: str, once: bool = Tr
 
 
 def start_totals(spark: SparkSession, scored: str, out: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Running totals over the scored files, in a query of its own: each micro-batch leaves one snapshot row."""
-    rows = spark.readStream.schema(SCORED).parquet(scored)
-    totals = rows.groupBy().agg(
-        F.count_if("valid").alias("n_valid"),
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.round("score", 4).cast("decimal(9,4)")).alias("sum_score"),
-    )
+    """Totals over the scored files, in a query of its own: one row per scored batch.
+
+    Whenever files of a batch arrive, the totals of that batch are taken anew from what its folder holds by then. A batch that
+    is scored again after a failure replaces its folder, and so its totals, instead of being counted twice.
+    """
+    def write(arrived: DataFrame, _: int) -> None:
+        batches = arrived.select("batch_id").distinct()  # as many as there are new folders
+        rows = spark.read.schema(SCORED).parquet(scored).join(F.broadcast(batches), "batch_id", "left_semi")
+        totals = rows.groupBy("batch_id").agg(
+            F.count_if("valid").alias("n_valid"),
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.round("score", 4).cast("decimal(9,4)")).alias("sum_score"),
+        )
+        totals.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-
-    return _start(totals.writeStream.foreachBatch(write).outputMode("complete"), checkpoint, once)
+    rows = spark.readStream.schema(SCORED).parquet(scored)
+    return _start(rows.writeStream.foreachBatch(write).outputMode("append"), checkpoint, once)
 
 
 def latest_totals(spark: SparkSession, out: str) -> DataFrame:
-    """The newest snapshot, with the mean score."""
-    snapshots = spark.read.parquet(out)
-    newest = snapshots.agg(F.max_by(F.struct("n_valid", "n", "sum_score"), "batch_id").alias("s")).select("s.*")
-    return newest.select(
+    """The totals of all batches so far, with the mean score."""
+    shape = "n_valid bigint, n bigint, sum_score decimal(19,4), batch_id bigint"
+    found = spark.read.schema(shape).parquet(out).agg(*[F.sum(c).alias(c) for c in ("n_valid", "n", "sum_score")])
+    return found.select(
         "n_valid", "n", F.round(F.try_divide(F.col("sum_score").cast("double"), F.col("n")), 6).alias("mean_score")
     )
 

@@ -37,7 +37,7 @@ def streamed(spark, tmp_path, batches, **how):
     )
     query.awaitTermination()
     rows = spark.read.schema(assembly.OUTPUT).parquet(str(tmp_path / "out")).collect()
-    return sorted((r.request_id, r.part, r.answer, r.how) for r in rows)
+    return sorted((r.request_id, r.answer, r.how) for r in rows)
 
 
 def test_stream_emits_once_and_absorbs_late_chunks(spark, tmp_path):
@@ -46,7 +46,7 @@ def test_stream_emits_once_and_absorbs_late_chunks(spark, tmp_path):
         [line("a", 2, "o", True), line("a", 1, "ll")],
         [line("a", 3, "late"), line("b", 0, "A"), line("b", 2, None, True)],
     ])
-    assert got == [("a", 0, "hello", "done"), ("b", 0, "AB", "done")]
+    assert got == [("a", "hello", "done"), ("b", "AB", "done")]
 
 
 def test_stream_waits_for_missing_chunks(spark, tmp_path):
@@ -54,7 +54,7 @@ def test_stream_waits_for_missing_chunks(spark, tmp_path):
         [line("a", 0, "x"), line("a", 2, "z", True)],
         [line("a", 1, "y")],
     ])
-    assert got == [("a", 0, "xyz", "done")]
+    assert got == [("a", "xyz", "done")]
 
 
 def test_stream_time_out_and_gap(spark, tmp_path):
@@ -64,7 +64,7 @@ def test_stream_time_out_and_gap(spark, tmp_path):
         [line("clock2", 0, "t", True, at=400)],
         [line("clock3", 0, "t", True, at=800)],
     ])
-    assert ("slow", 0, "", "timeout") in got and ("gap", 0, "xz", "gap") in got
+    assert ("slow", "", "timeout") in got and ("gap", "xz", "gap") in got
     assert len(got) == 5
 
 
@@ -72,19 +72,18 @@ def test_stream_equals_batch_with_a_hot_request_in_parts(spark, tmp_path):
     hot = [line("hot", i, f"{i},", i == 99, at=1) for i in range(100)]
     cold = [line(f"r{i}", s, f"{i}-{s}", s == 2, at=2) for i in range(20) for s in range(3)]
     lines = hot[::2] + cold + hot[1::2]
-    got = streamed(spark, tmp_path, [lines[:80], lines[80:120], lines[120:]], part_rows=16)
+    got = streamed(spark, tmp_path, [lines[:80], lines[80:120], lines[120:]])
     batch = an.assemble(
         readers.chunk_lines(spark, str(tmp_path / "in")).where("request_id is not null"), part_rows=16
     ).collect()
-    assert [g[:3] for g in got] == sorted((r.request_id, r.part, r.answer) for r in batch)
-    assert "".join(g[2] for g in got if g[0] == "hot") == "".join(f"{i}," for i in range(100))
-    assert [g[3] for g in got if g[0] == "hot"] == ["part"] * 6 + ["done"]
+    assert [g[:2] for g in got] == sorted((r.request_id, r.answer) for r in batch)
+    assert [g[1:] for g in got if g[0] == "hot"] == [("".join(f"{i}," for i in range(100)), "done")]
 
 
 def test_batch_assembly_appends_after_the_final_chunk(spark):
     rows = spark.createDataFrame(
         [("a", 2, "!", False), ("a", 0, "x", False), ("a", 1, None, True)], "request_id string, seq bigint, content string, done boolean")
-    assert [tuple(r) for r in an.assemble(rows).collect()] == [("a", 0, "x!")]
+    assert [tuple(r) for r in an.assemble(rows).collect()] == [("a", "x!")]
 
 
 def test_chunk_lines_skip_blanks_and_keep_bad_lines(spark, tmp_path):
@@ -98,10 +97,10 @@ def test_chunk_lines_skip_blanks_and_keep_bad_lines(spark, tmp_path):
 def test_streamed_scoring_and_totals(spark, tmp_path):
     good = '{"endpoint":"/api/x","method":"GET","headers":{},"body":{}}'
     feed(tmp_path / "in", [
-        [line("a", 0, good[:20]), line("b", 0, "no json", True)],
+        [line("a", 0, good[:20]), "{broken", '{"request_id": "a", "content": "no place"}', line("b", 0, "no json", True)],
         [line("a", 1, good[20:], True)],
     ])
-    chunks = readers.chunk_line_stream(spark, str(tmp_path / "in"), files_per_trigger=1).where("request_id is not null")
+    chunks = readers.chunk_line_stream(spark, str(tmp_path / "in"), files_per_trigger=1)
     out, totals = str(tmp_path / "scored"), str(tmp_path / "totals")
     scoring.start_scoring(assembly.assembled(chunks, buckets=4), out, str(tmp_path / "c1")).awaitTermination()
     rows = spark.read.schema(scoring.SCORED).parquet(out).orderBy("request_id").collect()
@@ -109,6 +108,12 @@ def test_streamed_scoring_and_totals(spark, tmp_path):
     scoring.start_totals(spark, out, totals, str(tmp_path / "c2")).awaitTermination()
     got = scoring.latest_totals(spark, totals).first()
     assert (got.n_valid, got.n, got.mean_score) == (1, 2, 0.5)
+    # a batch is scored again: its folder is replaced and its files are new to the totals
+    folder = next(str(p) for p in (tmp_path / "scored").iterdir() if p.name.startswith("batch_id="))
+    again = spark.createDataFrame(spark.read.parquet(folder).collect(), spark.read.parquet(folder).schema)
+    again.write.mode("overwrite").parquet(folder)
+    scoring.start_totals(spark, out, totals, str(tmp_path / "c2")).awaitTermination()
+    assert scoring.latest_totals(spark, totals).first() == got
     batch = ev.summary(ev.evaluate(spark.createDataFrame([("a", good), ("b", "no json")], "id string, raw string")),
                        elapsed_ms=None).first()
     assert (batch.n_valid, batch.n, batch.mean_score) == (got.n_valid, got.n, got.mean_score)
@@ -138,3 +143,29 @@ def test_generation_goes_on_after_failures(spark):
     assert [(r.raw, r.error) for r in got] == [("OK", None), ("", "RuntimeError: down"), ("FINE", None)]
     assert all(r.elapsed_ms >= 0 for r in got)
     assert ev.evaluate(an.generate(rows, "q", load, ["case_id"])).where("score > 0").count() == 0
+
+
+def test_bad_chunks_go_to_the_quarantine(spark, tmp_path):
+    feed(tmp_path / "in", [["{broken", '{"request_id": "a", "content": "no place"}', line("a", 0, "x", True)]])
+    rows = readers.chunk_lines(spark, str(tmp_path / "in"))
+    assert assembly.unusable(rows).count() == 2
+
+
+def test_a_hanging_call_ends_and_models_are_called_once_per_case(spark, tmp_path):
+    calls = str(tmp_path / "calls")
+
+    def load():
+        def answer(text):
+            import time as clock
+            with open(calls, "a") as file:
+                file.write("x")
+            if text == "hang":
+                clock.sleep(60)
+            return text
+        return answer
+
+    rows = spark.createDataFrame([(k, "hang" if k == 3 else "ok") for k in range(6)], "case_id bigint, q string")
+    given = an.generate(rows, "q", load, ["case_id"], limit_s=1.0)
+    numbered = ev.evaluate(ev.detail(given)).collect()
+    assert [(r.raw, r.error) for r in numbered if r.case_id == 3] == [("", "TimeoutError: no answer within 1 s")]
+    assert len(numbered) == 6 and len(open(calls).read()) == 6

@@ -45,14 +45,25 @@ def test_named_split_reads_its_own_folder(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(split" in text
 
 
-def test_filters_stay_above_the_extraction_and_texts_are_parsed_once(spark, tmp_path):
+def test_filters_reach_the_scan_and_texts_are_parsed_once(spark, tmp_path):
     path = str(tmp_path / "a")
-    spark.range(20).select(F.col("id").alias("case_id"), F.lit("{}").alias("raw")).write.parquet(path)
+    spark.range(20).select(F.col("id").alias("case_id"), F.lit("{}").alias("raw"), (F.col("id") % 3).alias("day")).write.partitionBy(
+        "day"
+    ).parquet(path)
     table = spark.read.parquet(path)
-    text = plan(ev.evaluate(table).where("status = 'ok' and valid and case_id > 3"))
+    text = plan(ev.evaluate(table).where("status = 'ok' and valid and case_id > 3 and day = 1").select("case_id", "status", "score"))
     assert text.count("parseJson") == 3  # one for each attempt
-    assert "PushedFilters: [IsNotNull(case_id), GreaterThan(case_id,3)]" in text or "case_id" in text
-    assert plan(ev.evaluate(table).select("case_id")).count("parseJson") == 0
+    assert "GreaterThan(case_id,3)" in text.split("PushedFilters")[1].split("]")[0]
+    assert "= 1)" in text.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+@needs_tables
+@pytest.mark.parametrize("name", ["w3_case_detail", "w4_pack_plan", "w4_packed_blocks", "v4_nested_scales"])
+def test_numbering_never_brings_rows_into_one_task(spark, name):
+    """The only single partition is that of the bucket totals."""
+    text = plan(entry.queries()[name](spark, SF_DIR))
+    for part in text.split("Exchange SinglePartition")[1:]:
+        assert "functions=[sum(" in part.split("Exchange")[0] and "_bucket" in part.split("Exchange")[0]
 
 
 def test_kept_checkpoints_are_limited_before_the_shuffle(spark, tmp_path):
