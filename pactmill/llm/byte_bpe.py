@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, functions as F
 LONGEST_TOGETHER = 32  # bytes of a piece that is merged along with others; longer ones have a tree of their own
 PIECES_TOGETHER = 4096
 CHARACTERS_TOGETHER = 2_000_000
-CACHED_RUNS = 500_000  # encoded runs a worker remembers; beyond that it starts anew
+CACHED_RUNS = 200_000  # encoded runs a worker remembers; beyond that, or beyond this many characters, it starts anew
+CACHED_CHARACTERS = 4_000_000
 
 # White space and what follows up to the next white space. No piece of the usual patterns reaches from a character that is
 # not white space into one that is, so runs can be encoded, and remembered, one by one.
@@ -204,6 +205,7 @@ class Codec:
         self.merger = Merger(read_ranks(path))
         self.pieces = regex.compile(pattern)
         self.packed: dict[str, bytes] = {}  # ids of a run, four bytes each, lowest byte first
+        self.characters = 0  # of those runs
         tokens = self.merger.tokens
         self.token_bytes = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
 
@@ -224,9 +226,12 @@ class Codec:
 
     def _learn(self, runs: set[str]) -> None:
         missing = [run for run in runs if run not in self.packed]
-        if len(self.packed) + len(missing) > CACHED_RUNS:
+        characters = sum(map(len, missing))
+        if len(self.packed) + len(missing) > CACHED_RUNS or self.characters + characters > CACHED_CHARACTERS:
             self.packed.clear()
             missing = list(runs)
+            self.characters, characters = 0, sum(map(len, missing))
+        self.characters += characters
         split = [self.pieces.findall(run) for run in missing]
         pieces = list(set().union(*split))
         ids = dict(zip(pieces, self.merger.encode([piece.encode() for piece in pieces])))

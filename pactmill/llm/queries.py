@@ -24,8 +24,11 @@ URL_RULES = [
     urls.Rule("block", "net/"), urls.Rule("allow", "example.net/en/"), urls.Rule("block", "example.com/de/"),
     urls.Rule("allow", "org/fr/"),
 ]
-# rows per Arrow batch: long texts must not add up in a worker
-SETTINGS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "512"}
+# rows and bytes per Arrow batch: long texts and large nodes must not add up in a worker
+SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
