@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pactmill.llm.wordhash import texts_as_bytes
 
@@ -143,14 +143,22 @@ def fit(
     """Train on a bounded sample: of every language the ``per_language`` rows that come first by a hash of the key, and of
     each the first ``sample_characters`` characters. None if there is no labelled text."""
     labelled = labelled.where(F.col(lang).isNotNull() & F.rlike(F.coalesce(text, F.lit("")), F.lit(r"\p{L}")))
-    languages = [row[0] for row in labelled.select(lang).distinct().orderBy(lang).collect()]
-    rows = []
-    for language in languages:
-        own = labelled.where(F.col(lang) == language)
-        rows += own.orderBy(F.xxhash64(F.lit(seed), F.col(key), F.col(lang))).select(
-            F.substring(text, 1, sample_characters), lang
-        ).limit(per_language).collect()
-    return train([row[0] for row in rows], [row[1] for row in rows], seed=seed) if rows else None
+    hashed = labelled.select(
+        F.col(lang).alias("lang"), F.xxhash64(F.lit(seed), F.col(key), F.col(lang)).alias("h"), F.col(text).alias("text")
+    )
+    first = Window.partitionBy("lang").orderBy("h")
+    counts = hashed.groupBy("lang").count().collect()
+    if not counts:
+        return None
+    # hashes are uniform: below this edge lie about twice as many rows as are wanted, so few rows leave their tasks
+    edges = [
+        (row["lang"], min((1 << 63) - 1, (2 * per_language + 100 << 64) // row["count"] - (1 << 63))) for row in counts
+    ]
+    edge = F.create_map(*[part for name, h in edges for part in (F.lit(name), F.lit(h).cast("bigint"))])[F.col("lang")]
+    near = hashed.where(F.col("h") <= edge).withColumn("text", F.substring("text", 1, sample_characters))
+    rows = near.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).collect()
+    rows.sort(key=lambda row: (row.lang, row.n))
+    return train([row.text for row in rows], [row.lang for row in rows], seed=seed)
 
 
 def predicted(df: DataFrame, net: Network | None, text: str = "text") -> DataFrame:

@@ -355,10 +355,11 @@ def test_bpe_equals_tiktoken(docs, encoding):
     assert byte_bpe.coded(df.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
 
 
-@pytest.mark.parametrize("longest", [0, 4, 64])
-def test_both_trees_merge_alike(encoding, monkeypatch, longest):
+@pytest.mark.parametrize("longest, characters", [(0, 4_000_000), (4, 4_000_000), (64, 4_000_000), (64, 200)])
+def test_both_trees_merge_alike(encoding, monkeypatch, longest, characters):
     monkeypatch.setattr(byte_bpe, "LONGEST_TOGETHER", longest)
     monkeypatch.setattr(byte_bpe, "CACHED_RUNS", 50)
+    monkeypatch.setattr(byte_bpe, "CACHED_CHARACTERS", characters)
     monkeypatch.setattr(byte_bpe, "CHARACTERS_TOGETHER", 100)
     codec = byte_bpe.Codec(PATH, public_tokenizers.PATTERN)
     texts = ODD + ["".join(random.choice("thearionst") for _ in range(random.randrange(1, 40))) for _ in range(300)]
