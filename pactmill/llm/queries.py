@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pactmill import session
 from pactmill.llm import (
-    byte_bpe, exact_dedup, language_id, main_text, mixing, near_dedup, pivot_search, sharding, toxicity,
-    wildcard_urls as urls,
+    byte_bpe, exact_dedup, jaccard_join, language_id, lexical_search, main_text, mixing, near_dedup, pivot_search, sharding,
+    token_alignment, toxicity, wildcard_urls as urls,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,11 +55,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def links_sql(width: int, share: int, kept: bool) -> str:
+    """SQL for documents linked by their word shingles: shared shingles counted by pair, classes by reachability."""
+    return rf"""
+    WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (
+        SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {width} THEN [array_to_string(w, ' ')]
+            ELSE list_transform(range(1, len(w) - {width} + 2), lambda i: array_to_string(w[i:i + {width} - 1], ' ')) END) AS g
+        FROM d),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+    l AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * i >= {share} * (x.n + y.n - i)),
+    r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+    c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+    SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id{", d.doc_id = component_id AS kept" if kept else ""}
+    FROM d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)"""
+
+
 def held_out(divisor: int, remainder: int):
     return language_id.remainder("doc_id", divisor) == remainder
 
 
-@query("op1_near_dedup")
+@query("op1_near_dedup", links_sql(5, 85, kept=True))
 def near(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -181,3 +198,42 @@ def bpe(spark, sf_dir):
     return coded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+@query("op11_gram_join", links_sql(3, 90, kept=False))
+def gram_join(spark, sf_dir):
+    return jaccard_join.joined(table(spark, sf_dir, "documents"))
+
+
+@query("op12_token_alignment")
+def token_links(spark, sf_dir):
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    aligned = token_alignment.aligned(table(spark, sf_dir, "documents").select("doc_id", "text"), a, b)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return token_alignment.with_counts(
+        aligned.select("row.doc_id", "n_a", "n_b", "n_groups", digest.alias("groups_sha256"), "pairs", "times")
+    )
+
+
+@query("op13_lexical_search", r"""
+    WITH t AS (
+        SELECT row_number() OVER () AS d, doc_id,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+        FROM documents),
+    a AS (SELECT (count(*) FILTER (len(terms) > 0))::BIGINT AS docs, coalesce(sum(len(terms)), 0)::BIGINT AS total FROM t),
+    p AS (SELECT d, doc_id, n, term, count(*)::BIGINT AS tf
+          FROM (SELECT d, doc_id, len(terms)::BIGINT AS n, unnest(terms) AS term FROM t) GROUP BY ALL),
+    w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, a GROUP BY term, docs),
+    q AS (
+        SELECT DISTINCT i, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM (SELECT row_number() OVER () AS i, * FROM benchmark)),
+    s AS (
+        SELECT i, item_id, d, doc_id,
+               sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::BIGINT AS score
+        FROM q JOIN p USING (term) JOIN w USING (term), a GROUP BY i, item_id, d, doc_id),
+    r AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+    SELECT item_id, rank::INT AS rank, doc_id, score FROM r WHERE rank <= 10""")
+def lexical(spark, sf_dir):
+    return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
