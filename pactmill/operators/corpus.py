@@ -54,12 +54,9 @@ def conversations(
 
 def action_grid(categories: DataFrame, column: str, actions: list[str]) -> DataFrame:
     """Every category with every action. ``actions`` is a parameter list of any length."""
-    listed = categories.sparkSession.createDataFrame([(list(actions),)], "actions array<string>")
-    named = categories.select(F.col(column).alias("category")).distinct().withColumn("_one", F.lit(1))
-    # the one row that holds the list
-    return named.join(F.broadcast(listed.withColumn("_one", F.lit(1))), "_one").select(
-        "category", F.explode("actions").alias("action")
-    )
+    listed = F.array(*[F.lit(action) for action in actions]).cast("array<string>")
+    named = categories.select(F.col(column).alias("category")).distinct()
+    return named.select("category", F.explode(listed).alias("action"))
 
 
 def generated_pairs(df: DataFrame, raw: str) -> DataFrame:

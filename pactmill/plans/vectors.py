@@ -38,9 +38,10 @@ FROM {tag} GROUP BY vec_id"""
 
 
 def _per_vector(spark, sf_dir, name):
-    rows = vectors.quantize(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), name)
-    codes = F.flatten(F.col("quantized.codes")).cast("array<string>")
-    error = bl.max_magnitude(bl.errors(F.col("embedding"), F.col("restored")))
+    rule = vectors.FORMATS[name].rule
+    rows = vectors.pack(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), name, scale_bits=bl.EXACT)
+    codes = bl.codes(F.col("packed"), rule).cast("array<string>")
+    error = bl.largest_error(F.col("embedding"), F.col("packed"), rule)
     return rows.select("vec_id", F.array_join(codes, ",").alias("codes"), F.round(error, 8).alias("max_err"))
 
 
@@ -92,7 +93,7 @@ _ALL_SQL = (f"WITH {_VALUES_SQL}, {_symmetric_sql('q8', 127)}, {_symmetric_sql('
 
 def _reports(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return vectors.report(rows).unionByName(vectors.nested_report(rows))
+    return vectors.full_report(rows)
 
 
 @query("v5_format_report", f"{_ALL_SQL} SELECT * FROM report")

@@ -1,9 +1,8 @@
 """Putting streamed answer chunks together, with a time-out on event time.
 
-Requests are hashed to ``buckets``; a bucket is one state row, which holds the chunks of its open requests. Calls into Python are
-made per bucket and micro-batch, not per request, which is what makes this affordable with many short requests. The number of buckets is a
-parameter of the query that must not change while its checkpoint lives; choose it so that a bucket holds up to about a thousand
-open requests.
+State is kept per request: a short record, and the chunks that wait for others as a list to which new ones are appended. A
+micro-batch reads and writes the state of the requests it has chunks of, and of no others; the work per chunk does not grow with the requests
+that are open.
 
 * An answer is one row, emitted once: when the final chunk and all earlier ones have arrived.
 * After that a tombstone absorbs late chunks until its time is up.
@@ -18,94 +17,84 @@ Time-outs fire only as the watermark moves: a stream that goes quiet does not ti
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from pactmill import fixed_values as fv
 
-BUCKETS = 1024
 OUTPUT = "request_id string, answer string, how string"
-# open requests, and their chunks; ``owner`` is the place of the chunk's request in the first arrays
-STATE = (
-    "ids array<string>, finals array<bigint>, closed array<boolean>, last_ms array<bigint>, "
-    "owner array<int>, seqs array<bigint>, texts array<string>"
-)
+# the sequence number marked final or -1, whether the answer is out, the last event time, the timer that is set, the waiting chunks
+RECORD = "final bigint, closed boolean, last_ms bigint, due_ms bigint, waiting bigint"
+CHUNK = "seq bigint, content string"
 _USABLE = "request_id is not null and seq is not null and ts is not null"
 
 
-@dataclass
-class _Request:
-    final: int = -1  # sequence number of the chunk marked final
-    closed: bool = False  # already emitted; late chunks are absorbed
-    last_ms: int = 0
-    pieces: dict[int, str] = field(default_factory=dict)
-
-    def text(self) -> str:
-        return "".join(self.pieces[s] for s in sorted(self.pieces))
-
-    def complete(self) -> bool:
-        return self.final >= 0 and len(self.pieces) > self.final and all(s in self.pieces for s in range(self.final + 1))
-
-
-def _loaded(state: GroupState) -> dict[str, _Request]:
-    if not state.exists:
-        return {}
-    ids, finals, closed, last_ms, owner, seqs, texts = state.get
-    requests = [_Request(int(f), bool(c), int(t)) for f, c, t in zip(finals, closed, last_ms)]
-    for at, seq, text in zip(owner, seqs, texts):
-        requests[at].pieces[int(seq)] = text
-    return dict(zip(ids, requests))
-
-
-def _stored(open_: dict[str, _Request]) -> tuple:
-    requests = list(open_.values())
-    chunks = [(at, seq, text) for at, one in enumerate(requests) for seq, text in one.pieces.items()]
-    return (
-        list(open_), [r.final for r in requests], [r.closed for r in requests], [r.last_ms for r in requests],
-        *[[c[i] for c in chunks] for i in range(3)],
-    )
-
-
-def _step(timeout_ms: int):
-    def run(_: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        open_, touched, emitted = _loaded(state), set(), []
-        if not state.hasTimedOut:
-            for rows in batches:
-                columns = (rows[c].tolist() for c in ("request_id", "seq", "ms", "content", "done"))
-                for key, seq, ms, content, done in zip(*columns):
-                    request = open_.setdefault(key, _Request())
-                    request.last_ms = max(request.last_ms, ms)
-                    touched.add(key)
-                    if request.closed:
-                        continue
-                    request.pieces[seq] = content or ""
-                    if done:
-                        request.final = seq if request.final < 0 else min(request.final, seq)
-        for key in touched:
-            request = open_[key]
-            if not request.closed and request.complete():
-                emitted.append((key, request.text(), "done"))
-                request.closed, request.pieces = True, {}
-
-        mark = state.getCurrentWatermarkMs()
-        for key in [k for k, r in open_.items() if k not in touched and r.last_ms + timeout_ms < mark]:
-            request = open_.pop(key)
-            if not request.closed:
-                emitted.append((key, request.text(), "gap") if request.final >= 0 else (key, "", "timeout"))
-
-        if open_:
-            state.update(_stored(open_))
-            due = min(r.last_ms for r in open_.values()) + timeout_ms
-            state.setTimeoutTimestamp(max(due, mark + 1))  # a timer behind the watermark is an error
-        else:
-            state.remove()
-        if emitted:
-            yield pd.DataFrame(emitted, columns=["request_id", "answer", "how"])
-
-    return run
+class Assembly(StatefulProcessor):
+    """One request: its record, its waiting chunks and one timer.
+
+    A timer is only moved when it fires: if chunks came in the meantime it is set anew, so that a chunk costs no timer of its own.
+    """
+
+    def __init__(self, timeout_ms: int) -> None:
+        self.timeout_ms = timeout_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.record = handle.getValueState("record", RECORD)
+        self.chunks = handle.getListState("chunks", CHUNK)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        known = self.record.get()
+        final, closed, last_ms, due_ms, waiting = known or (-1, False, 0, 0, 0)
+        fresh = {}
+        for row in rows:
+            last_ms = max(last_ms, row.ms)
+            if not closed:
+                fresh[row.seq] = row.content or ""
+                if row.done:
+                    final = row.seq if final < 0 else min(final, row.seq)
+        if not closed:
+            # a look at the chunks that wait is only worth it when there may be enough of them
+            pieces = fresh
+            if waiting and 0 <= final < waiting + len(fresh):
+                pieces = {chunk.seq: chunk.content for chunk in self._waiting()} | fresh
+            if final >= 0 and len(pieces) > final and all(seq in pieces for seq in range(final + 1)):
+                yield Row(request_id=key[0], answer="".join(pieces[seq] for seq in sorted(pieces)), how="done")
+                closed = True
+                if waiting:
+                    self.chunks.clear()
+                    waiting = 0
+            else:
+                self.chunks.appendList(list(fresh.items()))
+                waiting += len(fresh)
+        if not due_ms:
+            due_ms = self._timer(last_ms, timerValues)
+        self.record.update((final, closed, last_ms, due_ms, waiting))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        final, closed, last_ms, _, waiting = self.record.get()
+        if last_ms + self.timeout_ms >= timerValues.getCurrentWatermarkInMs():
+            self.record.update((final, closed, last_ms, self._timer(last_ms, timerValues), waiting))
+            return
+        if not closed:
+            pieces = {chunk.seq: chunk.content for chunk in self._waiting()} if final >= 0 else {}
+            yield Row(request_id=key[0], answer="".join(pieces[seq] for seq in sorted(pieces)), how="gap" if final >= 0 else "timeout")
+        self.record.clear()
+        self.chunks.clear()
+
+    def _waiting(self) -> Iterator[Row]:
+        """The chunks in the order in which they came: a chunk that came twice counts as it came last."""
+        return (Row(seq=seq, content=content) for seq, content in self.chunks.get())
+
+    def _timer(self, last_ms: int, timerValues) -> int:
+        """Set a timer one millisecond behind the last moment at which the request is still alive, not behind the watermark."""
+        due_ms = max(last_ms + self.timeout_ms, timerValues.getCurrentWatermarkInMs()) + 1
+        self.handle.registerTimer(due_ms)
+        return due_ms
+
+    def close(self) -> None:
+        pass
 
 
 def unusable(chunks: DataFrame) -> DataFrame:
@@ -113,14 +102,11 @@ def unusable(chunks: DataFrame) -> DataFrame:
     return chunks.where(f"not ({_USABLE})")
 
 
-def assembled(
-    chunks: DataFrame, timeout_s: int = fv.TIMEOUT_SECONDS, watermark: str = "10 seconds", buckets: int = BUCKETS,
-) -> DataFrame:
+def assembled(chunks: DataFrame, timeout_s: int = fv.TIMEOUT_SECONDS, watermark: str = "10 seconds") -> DataFrame:
     """Stream of (request_id, seq, ts, content, done) to a stream of answers."""
     keyed = chunks.where(_USABLE).withWatermark("ts", watermark).select(
-        F.pmod(F.xxhash64("request_id"), F.lit(buckets)).alias("bucket"),
-        "request_id", "seq", "ts", F.unix_millis("ts").alias("ms"), "content", "done",
+        "request_id", "seq", "ts", F.unix_millis("ts").alias("ms"), "content", "done"
     )
-    return keyed.groupBy("bucket").applyInPandasWithState(
-        _step(timeout_s * 1000), OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout
+    return keyed.groupBy("request_id").transformWithState(
+        Assembly(timeout_s * 1000), OUTPUT, outputMode="Append", timeMode="EventTime"
     )

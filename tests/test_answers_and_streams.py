@@ -32,7 +32,7 @@ def streamed(spark, tmp_path, batches, **how):
     feed(tmp_path / "in", batches)
     chunks = readers.chunk_line_stream(spark, str(tmp_path / "in"), files_per_trigger=1).where("request_id is not null")
     query = (
-        assembly.assembled(chunks, buckets=4, **how).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        assembly.assembled(chunks, **how).writeStream.format("parquet").option("path", str(tmp_path / "out"))
         .option("checkpointLocation", str(tmp_path / "ck")).outputMode("append").trigger(availableNow=True).start()
     )
     query.awaitTermination()
@@ -68,6 +68,37 @@ def test_stream_time_out_and_gap(spark, tmp_path):
     assert len(got) == 5
 
 
+def test_a_batch_leaves_the_state_of_other_requests_alone(spark, tmp_path):
+    """10,000 requests are open; a batch with one chunk of one of them writes that one's state and nothing else."""
+    feed(tmp_path / "in", [
+        [line(f"r{k}", 0, "x" * 50, at=1) for k in range(10_000)],
+        [line("r7", 1, "y", True, at=2)],
+    ])
+    chunks = readers.chunk_line_stream(spark, str(tmp_path / "in"), files_per_trigger=1)
+    query = (
+        assembly.assembled(chunks).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "ck")).outputMode("append").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    first, second = [p.stateOperators[0] for p in query.recentProgress if p.numInputRows][:2]
+    assert first.numRowsUpdated >= 10_000 and second.numRowsTotal >= 19_990
+    assert second.numRowsUpdated + second.numRowsRemoved <= 5
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [("r7", "x" * 50 + "y", "done")]
+
+
+def test_stream_takes_repeated_chunks_and_moves_its_timer(spark, tmp_path):
+    got = streamed(spark, tmp_path, [
+        [line("twice", 0, "old"), line("slow", 0, "a", at=0), line("quiet", 0, "q", at=0)],
+        [line("twice", 0, "new"), line("slow", 1, "b", at=100), line("quiet", 1, "q", at=100)],
+        [line("clock", 0, "t", True, at=150)],  # past the first time-out of the slow ones, not past that of their last chunks
+        [line("slow", 2, "c", True, at=160), line("twice", 1, "!", True, at=160)],
+        [line("clock2", 0, "t", True, at=900)],
+    ])
+    assert got == [
+        ("clock", "t", "done"), ("clock2", "t", "done"), ("quiet", "", "timeout"), ("slow", "abc", "done"), ("twice", "new!", "done"),
+    ]
+
+
 def test_stream_equals_batch_with_a_hot_request_in_parts(spark, tmp_path):
     hot = [line("hot", i, f"{i},", i == 99, at=1) for i in range(100)]
     cold = [line(f"r{i}", s, f"{i}-{s}", s == 2, at=2) for i in range(20) for s in range(3)]
@@ -102,7 +133,7 @@ def test_streamed_scoring_and_totals(spark, tmp_path):
     ])
     chunks = readers.chunk_line_stream(spark, str(tmp_path / "in"), files_per_trigger=1)
     out, totals = str(tmp_path / "scored"), str(tmp_path / "totals")
-    scoring.start_scoring(assembly.assembled(chunks, buckets=4), out, str(tmp_path / "c1")).awaitTermination()
+    scoring.start_scoring(assembly.assembled(chunks), out, str(tmp_path / "c1")).awaitTermination()
     rows = spark.read.schema(scoring.SCORED).parquet(out).orderBy("request_id").collect()
     assert [(r.request_id, r.valid, r.score) for r in rows] == [("a", True, 1.0), ("b", False, 0.0)]
     scoring.start_totals(spark, out, totals, str(tmp_path / "c2")).awaitTermination()
