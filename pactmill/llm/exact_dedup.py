@@ -225,12 +225,13 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", table_bytes:
 
 def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", table_bytes: int = TABLE_BYTES) -> DataFrame:
     """The rows of ``df`` that stay, all their columns as they are. Of rows that agree in key and text one stays."""
-    found = groups(df, key, text, table_bytes).where("kept").select(F.col(key).alias("_key"), "text_sha256")
+    plain = lambda key_: (key_.isNull().alias("_null"), F.coalesce(key_, F.lit(0).cast("bigint")).alias("_key"))
+    found = groups(df, key, text, table_bytes).where("kept").select(*plain(F.col(key)), F.col("text_sha256").alias("_sha"))
     lowered = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     rows = df.select(
-        F.struct("*").alias("row"), F.col(key).cast("bigint").alias("_key"), F.sha2(lowered.cast("binary"), 256).alias("_sha")
+        F.struct("*").alias("row"), *plain(F.col(key).cast("bigint")), F.sha2(lowered.cast("binary"), 256).alias("_sha")
     )
-    alike = (rows["_key"].eqNullSafe(found["_key"])) & (rows["_sha"] == found["text_sha256"])
-    one = Window.partitionBy("_key", "_sha").orderBy("_key")  # the join has put these together
-    kept = rows.join(found, alike, "left_semi").withColumn("_n", F.row_number().over(one)).where("_n = 1")
-    return kept.select("row.*")
+    # the window is over the columns of the join, so that rows move once for both
+    same = ["_null", "_key", "_sha"]
+    kept = rows.join(found, same, "left_semi").withColumn("_n", F.row_number().over(Window.partitionBy(*same).orderBy("_key")))
+    return kept.where("_n = 1").select("row.*")

@@ -31,14 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pactmill import session
-from pactmill.llm import wordhash
+from pactmill.llm import families, wordhash
 from pactmill.llm.components import components
 
 WIDTH = 3
 SHARE = 90  # per cent of the union that two sets must share
 HOT = 512  # more sets than this make a subset dear
-FAMILY_BITS = 400_000_000  # sets times tokens of a family, or of two slices of one, that are compared in one task
-CANDIDATES_BROADCAST = 1_000_000  # more candidate sets than this are joined by a shuffle instead
 
 _SETS = "id bigint, n_shingles bigint, digest_a bigint, digest_b bigint, keys array<bigint>"
 
@@ -146,145 +144,40 @@ def _allocated(width: int, share: int):
     return run
 
 
-def _bounded(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` with a broadcast hint if a count of its rows shows that it is small."""
-    return F.broadcast(df) if df.count() <= rows else df
-
-
 def candidate_links(texts: DataFrame, reps: DataFrame, width: int, share: int, hot: int) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) of every set to the first one with a common entry, and for each set how many other sets its entries meet.
 
     Entries are counted in the tasks that read them before they move. Each set is linked to one other per entry, so that no group of sets
-    is ever spelled out as pairs.
+    is ever spelled out as pairs. It is the one that meets the most other sets: near copies mostly agree in it, so that a set
+    has few links though it has many entries.
     """
     entries = reps.select("id", F.explode("keys").alias("entry"))
-    shared = session.stored(entries.groupBy("entry").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).where("n > 1"), "entries")
+    shared = session.stored(entries.groupBy("entry").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "entries")
     common = session.stored(entries.join(shared, "entry"), "common-entries")
-    support = common.groupBy("id").agg(F.sum(F.col("n") - 1).alias("support"))
+    support = session.stored(common.groupBy("id").agg(F.sum(F.col("n") - 1).alias("support")), "support")
+
+    def star(rows: DataFrame) -> DataFrame:
+        ranked = rows.join(support, "id", "left").withColumn("support", F.coalesce("support", F.lit(0)))
+        return ranked.groupBy("entry").agg(F.max_by("id", F.struct("support", -F.col("id"))).alias("first"))
+
     dear = session.stored(common.where(F.col("n") > hot).groupBy("id").agg(F.collect_set("entry").alias("dear")), "dear-entries")
     if dear.isEmpty():
-        return common.select(F.col("first").alias("a"), F.col("id").alias("b")).where("a <> b").distinct(), support
-    own = session.stored(
-        texts.join(_bounded(dear, CANDIDATES_BROADCAST), "id").select("id", "text", "dear").mapInArrow(
-            _allocated(width, share), "id bigint, keys array<bigint>, less array<bigint>"
-        ), "allocated"
-    )
-    paying = own.select("id", F.explode("keys").alias("entry"))
-    whole = common.select("id", "entry").join(dear.select("id"), "id", "left_anti").unionByName(paying)
-    star = lambda rows: rows.groupBy("entry").agg(F.min("id").alias("first"))
-    links = whole.join(star(whole), "entry").unionByName(own.select("id", F.explode("less").alias("entry")).join(star(paying), "entry"))
+        links = common.join(star(common), "entry")
+    else:
+        own = session.stored(
+            texts.join(families.bounded(dear), "id").select("id", "text", "dear").mapInArrow(
+                _allocated(width, share), "id bigint, keys array<bigint>, less array<bigint>"
+            ), "allocated"
+        )
+        paying = own.select("id", F.explode("keys").alias("entry"))
+        whole = common.select("id", "entry").join(dear.select("id"), "id", "left_anti").unionByName(paying)
+        less = own.select("id", F.explode("less").alias("entry"))
+        links = whole.join(star(whole), "entry").select("id", "first").unionByName(less.join(star(paying), "entry").select("id", "first"))
     return links.select(F.col("first").alias("a"), F.col("id").alias("b")).where("a <> b").distinct(), support
 
 
-def similar(shared: np.ndarray, x: np.ndarray, y: np.ndarray, share: int = SHARE) -> np.ndarray:
-    """Whether sets of these sizes and intersections are similar."""
-    return 100 * shared >= share * (x + y - shared)
-
-
-def tile_links(ids: np.ndarray, sets: list[np.ndarray], across: np.ndarray, share: int = SHARE) -> list[tuple[int, int]]:
-    """Spanning links among sets, compared as rows of bits, one for each token that several of them have. Pairs with equal
-    numbers in ``across`` are not compared, unless the number is -1; nor are sets that hang together already."""
-    sizes = np.array([len(one) for one in sets])
-    tokens, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    column = np.cumsum(count > 1) - 1
-    kept = count[at] > 1
-    at, owner = column[at[kept]], owner[kept]
-    words = (int(column[-1]) >> 6) + 1 if len(column) and column[-1] >= 0 else 1
-    rows = np.zeros((len(sets), words), np.uint64)
-    np.bitwise_or.at(rows, (owner, at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
-    group, links = np.arange(len(ids)), []
-    for k in range(len(ids) - 1):
-        rest = np.arange(k + 1, len(ids))
-        rest = rest[(group[rest] != group[k]) & ((across[rest] != across[k]) | (across[rest] == -1))]
-        rest = rest[np.minimum(sizes[rest], sizes[k]) * 100 >= share * np.maximum(sizes[rest], sizes[k])]
-        for low in range(0, len(rest), 4_096):
-            part = rest[low:low + 4_096]
-            shared = np.bitwise_count(rows[part] & rows[k]).sum(axis=1, dtype=np.int64)
-            for other in part[similar(shared, sizes[part], sizes[k], share)].tolist():
-                if group[other] != group[k]:
-                    group[group == group[other]] = group[k]
-                    links.append((int(ids[k]), int(ids[other])))
-    return links
-
-
-def _tile(share: int):
-    def run(table: pa.Table) -> pa.Table:
-        ids = table.column("id").to_numpy()
-        sets = [np.frombuffer(one, np.uint64) for one in table.column("tokens").to_pylist()]
-        links = tile_links(ids, sets, table.column("across").to_numpy(), share) if len(ids) > 1 else []
-        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
-
-    return run
-
-
-def _packed(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tokens = pa.array([one.tobytes() for one in wordhash.shingle_sets(batch.column(1), width)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), tokens], ["id", "family", "tokens"])
-
-    return run
-
-
-def _linked_to_hub(share: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = [], []
-            for one, other, x, y in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                shared = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
-                if similar(np.int64(shared), len(x), len(y), share):
-                    a.append(one)
-                    b.append(other)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    return run
-
-
-def confirmed_links(texts: DataFrame, reps: DataFrame, candidates: DataFrame, support: DataFrame, width: int, share: int, bits: int) -> DataFrame:
-    """Links (a, b) between similar sets that span what hangs together by similarity."""
-    families = components(candidates).withColumnRenamed("component", "family").join(reps.select("id", "n_shingles"), "id")
-    families = session.stored(families.join(support, "id", "left"), "families")
-    load = session.stored(families.groupBy("family").agg(
-        F.count(F.lit(1)).alias("sets"), F.sum("n_shingles").alias("tokens"), F.max_by("id", F.struct("support", "n_shingles", -F.col("id"))).alias("hub")
-    ), "family-sizes")
-    members = _bounded(families.select("id", "family"), CANDIDATES_BROADCAST)
-    sets = session.stored(
-        texts.join(members, "id").select("id", "text", "family").mapInArrow(_packed(width), "id bigint, family bigint, tokens binary"), "family-sets"
-    )
-    # a tile holds at most ``bits`` sets times tokens, two slices included
-    slices = F.greatest(F.lit(1.0), F.ceil(F.sqrt(F.col("sets").cast("double") * F.col("tokens") * 4 / F.lit(bits)))).cast("int")
-    load = load.withColumn("slices", F.when(F.col("sets").cast("double") * F.col("tokens") <= bits, 1).otherwise(slices))
-    small = sets.join(load.where("slices = 1").select("family"), "family").withColumn("across", F.lit(-1))
-    tile = "a bigint, b bigint"
-    found = small.groupBy("family").applyInArrow(_tile(share), tile)
-    large = load.where("slices > 1")
-    if large.isEmpty():
-        return found
-    hubs = sets.join(large.select("family", F.col("hub").alias("id")), ["family", "id"]).select(
-        "family", F.col("id").alias("hub"), F.col("tokens").alias("hub_tokens")
-    )
-    near_hub = session.stored(
-        sets.join(hubs, "family").where("id <> hub").select("id", "hub", "tokens", "hub_tokens").mapInArrow(_linked_to_hub(share), tile), "hub-links"
-    )
-    done = near_hub.select(F.col("a").alias("id")).unionByName(large.select(F.col("hub").alias("id"))).distinct().withColumn("done", F.lit(True))
-    placed = session.stored(sets.join(large.select("family", "slices", "sets"), "family").join(done, "id", "left").na.fill(False, ["done"]), "placed-sets")
-    # sets not linked to the hub are compared with all others, a slice of them with each slice of the family
-    few = F.greatest(F.lit(1.0), F.ceil(F.count(F.lit(1)) * F.first("slices") / F.first("sets")).cast("double")).cast("int")
-    rounds = placed.where("not done").groupBy("family").agg(few.alias("rounds"))
-    placed = placed.join(rounds, "family")
-    spread = lambda column: F.pmod(F.xxhash64("id"), F.col(column)).cast("int")
-    every = lambda column: F.explode(F.sequence(F.lit(0), F.col(column) - 1))
-    left = placed.where("not done").withColumn("low", spread("rounds")).withColumn("high", every("slices")).withColumn("across", F.lit(0))
-    right = placed.withColumn("high", spread("slices")).withColumn("low", every("rounds")).withColumn("across", F.lit(1))
-    columns = ["family", "low", "high", "id", "tokens", "across"]
-    tiles = left.select(columns).unionByName(right.select(columns)).groupBy("family", "low", "high").applyInArrow(_tile(share), tile)
-    return found.unionByName(near_hub).unionByName(tiles)
-
-
 def joined(
-    df: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, share: int = SHARE, hot: int = HOT, family_bits: int = FAMILY_BITS
+    df: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, share: int = SHARE, hot: int = HOT, family_bits: int = families.FAMILY_BITS
 ) -> DataFrame:
     """One row per input row: key, n_shingles, component_id (smallest key reachable by links, itself included).
 
@@ -301,7 +194,7 @@ def joined(
         "distinct-grams",
     )
     candidates, support = candidate_links(texts, reps, width, share, hot)
-    links = confirmed_links(texts, reps, candidates, support, width, share, family_bits)
+    links = families.confirmed_links(texts, reps, candidates, support, width, share, family_bits)
     linked = session.stored(components(links), "gram-components")
     of_set = reps.join(linked, "id", "left").select(*digest, F.coalesce("component", "id").alias("component"))
     return sets.select("id", *digest).join(of_set, digest, "left").select(

@@ -1,15 +1,24 @@
 """Main text of web pages from parser events and text-to-tag ratios.
 
-The standard library's parser streams tags and text. Block elements cut the page into lines; a line's ratio is its characters
-per tag. The ratios are smoothed by a Gaussian along the page and split into two clusters; lines of the upper one mark where
-the content is. The element that holds it gives the text: all its lines but those inside elements that are never content
-(menus, footers, forms, adverts and the like), whose ratio counts as zero.
+The standard library's parser streams tags and text. Block elements and ``br`` cut the page into lines, the blocks of the result; a line's ratio is its
+characters per tag. The ratios are smoothed by a Gaussian along the page and split into two clusters; lines of the upper one
+mark where the content is.
+
+1. What is never content by its tag (menus, footers, forms, scripts and the like) counts as zero and is left out.
+2. Elements whose class, id or role names them as an advert, a notice, a comment list and so on are left out as well, unless the clusters say
+   otherwise: an element that holds most of the upper cluster's text is content whatever it is called.
+3. The innermost article, or else the innermost element, that holds most of the upper cluster's text bounds the region. In it lines of the upper cluster stay;
+   lines of the lower one stay too, as headings and short paragraphs do, unless they mostly consist of links. Without an article the
+   region begins at the first line of the upper cluster, with the headings before it, and ends at the last; lines beside them in the same
+   element belong to it as well, unless that is the whole page.
+
+All steps take time in proportion to the page.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -19,7 +28,8 @@ from pyspark.sql import DataFrame, functions as F
 
 SIGMA = 1.0  # lines
 HOLDS_CONTENT = 0.8  # share of content that an element must hold to be entered
-LINK_LINE = 0.6  # share of linked characters from which on a line outside an article is a menu
+OVERRULES = 0.5  # share of the upper cluster's text from which on an element is content whatever its class is
+LINK_LINE = 0.6  # share of linked characters from which on a line of the lower cluster is a menu
 
 _BREAKS = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -41,41 +51,53 @@ _HINTS = frozenset(
     "replies respond share sharing sidebar skip social sponsor sponsored subscribe toolbar topbar widget".split()
 )
 _HINT_STARTS = ("advert", "cookie", "comment", "newsletter", "sidebar", "sponsor", "subscri")
+# words that say nothing of their own when they are part of a name such as site-footer
+_GENERIC = frozenset("area bar block bottom box container content item left list main page panel right section site top wrap wrapper".split())
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+
+
+def _names_no_content(word: str) -> bool:
+    """Whether a class or id is a listed word, or made of listed and generic ones only."""
+    parts = [part.lower() for part in _PART.findall(word)]
+    listed = [part in _HINTS or part.startswith(_HINT_STARTS) for part in parts]
+    return any(listed) and all(known or part in _GENERIC for known, part in zip(listed, parts))
+
+
+def _invisible(attributes: dict[str, str | None]) -> bool:
+    return (
+        "hidden" in attributes or attributes.get("aria-hidden") == "true"
+        or "display:none" in (attributes.get("style") or "").replace(" ", "")
+    )
 
 
 def _hinted(attributes: dict[str, str | None]) -> bool:
-    """Whether class, id, role or visibility say that an element is not content."""
-    if "hidden" in attributes or attributes.get("aria-hidden") == "true":
-        return True
-    if (attributes.get("role") or "").lower() in _ROLES or "display:none" in (attributes.get("style") or "").replace(" ", ""):
+    """Whether class, id or role say that an element is not content."""
+    if (attributes.get("role") or "").lower() in _ROLES:
         return True
-    for name in ("class", "id"):
-        for part in _PART.findall(attributes.get(name) or ""):
-            part = part.lower()
-            if part in _HINTS or part.startswith(_HINT_STARTS):
-                return True
-    return False
+    return any(_names_no_content(word) for name in ("class", "id") for word in (attributes.get(name) or "").split())
 
 
 class Line:
-    __slots__ = ("parts", "tags", "linked", "outside", "holders", "heading")
+    __slots__ = ("parts", "tags", "linked", "outside", "scope", "heading")
 
-    def __init__(self, tags: int, outside: bool, holders: tuple[int, ...], heading: bool) -> None:
+    def __init__(self, outside: bool, scope: int, heading: bool) -> None:
         self.parts: list[str] = []
-        self.tags, self.linked, self.outside, self.holders, self.heading = tags, 0, outside, holders, heading
+        self.tags, self.linked, self.outside, self.scope, self.heading = 0, 0, outside, scope, heading
 
 
 class PageLines(HTMLParser):
-    """Collects the lines of a page."""
+    """Collects the lines of a page, and its scopes: elements that can hold content or are named as none. Scopes are numbered
+    as they open and know their parent; 0 is the page."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.articles: set[int] = set()
-        self._open: list[tuple[str, bool]] = []  # tag, and whether it is never content
-        self._holders: list[int] = []
-        self._outside = self._links = self._tags = self._count = 0
+        self.parents, self.kinds = [0], ["page"]  # kinds: page, article, holder or hinted
+        self._open: list[tuple[str, bool, bool]] = []  # tag, whether it is never content, whether it is a scope
+        self._scopes = [0]
+        self._named: Counter[str] = Counter()  # open elements by tag
+        self._outside = self._tags = 0
         self._fresh = True
 
     def updatepos(self, i, j):
@@ -91,22 +113,23 @@ class PageLines(HTMLParser):
                 self._close(len(self._open) - 1)
         if tag in _VOID:
             return
-        if tag in _ARTICLE:  # never inside a menu that was left open
-            for k, (name, _) in enumerate(self._open):
-                if name in ("nav", "header", "head"):
-                    self._close(k)
-                    break
-        outside = tag in _NEVER or (tag == "header" and not self.articles.intersection(self._holders))
-        if not outside and attrs and tag not in _ARTICLE and tag not in ("html", "body"):
-            outside = _hinted(dict(attrs))
-        self._open.append((tag, outside))
+        if tag in _ARTICLE and (self._named["nav"] or self._named["header"] or self._named["head"]):
+            # never inside a menu that was left open
+            self._close(next(k for k, one in enumerate(self._open) if one[0] in ("nav", "header", "head")))
+        outside = tag in _NEVER or (tag == "header" and not (self._named["article"] or self._named["main"]))
+        kind = "article" if tag in _ARTICLE else "page" if tag == "body" else "holder" if tag in _HOLDERS else ""
+        if not outside and attrs and tag not in ("html", "body"):
+            own = dict(attrs)
+            outside = _invisible(own) and tag not in _ARTICLE
+            if not outside and tag not in _ARTICLE and _hinted(own):
+                kind = "hinted"
+        self._open.append((tag, outside, bool(kind)))
+        self._named[tag] += 1
         self._outside += outside
-        self._links += tag == "a"
-        if tag in _HOLDERS:
-            self._count += 1
-            self._holders.append(self._count)
-            if tag in _ARTICLE:
-                self.articles.add(self._count)
+        if kind:
+            self.parents.append(self._scopes[-1])
+            self.kinds.append(kind)
+            self._scopes.append(len(self.kinds) - 1)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -117,33 +140,33 @@ class PageLines(HTMLParser):
         self._tags += 1
         if tag in _BREAKS:
             self._fresh = True
-        for k in range(len(self._open) - 1, -1, -1):
-            if self._open[k][0] == tag:
-                self._close(k)
-                return
+        if self._named[tag]:
+            at = len(self._open) - 1
+            while self._open[at][0] != tag:
+                at -= 1
+            self._close(at)
 
     def _close(self, k: int) -> None:
         """Close the element at place ``k`` and all in it."""
-        for tag, outside in self._open[k:]:
+        for tag, outside, scope in self._open[k:]:
+            self._named[tag] -= 1
             self._outside -= outside
-            self._links -= tag == "a"
-            if tag in _HOLDERS:
-                self._holders.pop()
+            if scope:
+                self._scopes.pop()
         del self._open[k:]
 
     def handle_data(self, data):
         outside = self._outside > 0
-        if self._fresh or not self.lines or self.lines[-1].outside != outside:
+        if self._fresh or not self.lines or self.lines[-1].outside != outside or self.lines[-1].scope != self._scopes[-1]:
             if data.isspace():
                 return
-            heading = any(tag in ("h1", "h2", "h3", "h4", "h5", "h6") for tag, _ in self._open[-3:])
-            self.lines.append(Line(0, outside, tuple(self._holders), heading))
+            self.lines.append(Line(outside, self._scopes[-1], any(one[0] in _HEADINGS for one in self._open[-3:])))
             self._fresh = False
         line = self.lines[-1]
         line.parts.append(data)
         line.tags += self._tags
         self._tags = 0
-        if self._links:
+        if self._named["a"]:
             line.linked += len(data)
 
 
@@ -160,24 +183,28 @@ def _parsed(html: str) -> PageLines:
 
 
 def smoothed(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
+    """Weighted means of neighbouring values; at the ends of the page only those count that are there."""
     reach = int(np.ceil(3 * sigma))
     kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
-    return np.convolve(values, kernel / kernel.sum())[reach:reach + len(values)]
+    within = lambda x: np.convolve(x, kernel)[reach:reach + len(x)]
+    return within(values) / within(np.ones(len(values)))
 
 
 def threshold(values: np.ndarray, rounds: int = 20) -> float:
-    """The middle between two cluster means, found by alternating assignment and means."""
+    """The middle between two cluster means, found by alternating assignment and means. Where the lower mean is not below
+    half of the upper one the lines are of one kind, and the smallest value is the threshold."""
     values = np.sort(values)
     sums = np.concatenate([[0.0], np.cumsum(values)])
-    cut = (values[0] + values[-1]) / 2
+    cut, apart = (values[0] + values[-1]) / 2, False
     for _ in range(rounds):
         k = int(np.searchsorted(values, cut))
         if not 0 < k < len(values):
             break
-        before, cut = cut, (sums[k] / k + (sums[-1] - sums[k]) / (len(values) - k)) / 2
+        low, high = sums[k] / k, (sums[-1] - sums[k]) / (len(values) - k)
+        before, cut, apart = cut, (low + high) / 2, low < high / 2
         if cut == before:
             break
-    return cut
+    return float(cut if apart else values[0])
 
 
 def main_text(html: str | None) -> str:
@@ -191,29 +218,53 @@ def main_text(html: str | None) -> str:
     if not ratios.any():
         return ""
     smooth = smoothed(ratios)
-    content = (smooth >= threshold(smooth)) & (ratios > 0)
-    if not content.any():
-        content = ratios > 0
-    held: dict[int, int] = defaultdict(int)
-    for (line, text), is_content in zip(found, content):
-        if is_content:
-            for holder in line.holders:
-                held[holder] += len(text)
-    total = sum(len(text) for (_, text), is_content in zip(found, content) if is_content)
-    articles = [holder for holder in held if holder in page.articles]
-    if articles:
-        most = max(held[holder] for holder in articles)
-        chosen = max(holder for holder in articles if held[holder] >= HOLDS_CONTENT * most)  # the innermost such
-        return "\n".join(text for line, text in found if chosen in line.holders and not line.outside)
-    inner = [holder for holder, size in held.items() if size >= HOLDS_CONTENT * total]
-    chosen = max(inner, default=None)  # numbered from outside in
-    first, last = np.flatnonzero(content)[[0, -1]]
-    while first > 0 and found[first - 1][0].heading and not found[first - 1][0].outside:
-        first -= 1
+    upper = (smooth >= threshold(smooth)) & (ratios > 0)
+    if not upper.any():
+        upper = ratios > 0
+
+    def held(within: list[bool]) -> list[int]:
+        """Characters of the upper cluster in each scope, inner ones included; ``within`` tells the scopes that count."""
+        sums = [0] * len(page.parents)
+        for (line, text), one in zip(found, upper):
+            if one and within[line.scope]:
+                sums[line.scope] += len(text)
+        for scope in range(len(sums) - 1, 0, -1):
+            sums[page.parents[scope]] += sums[scope]
+        return sums
+
+    sums, content = held([True] * len(page.parents)), [True]
+    for scope in range(1, len(page.parents)):
+        named = page.kinds[scope] == "hinted" and sums[scope] < OVERRULES * sums[0]
+        content.append(content[page.parents[scope]] and not named)
+    sums = held(content)
+    articles = [scope for scope, kind in enumerate(page.kinds) if kind == "article" and sums[scope]]
+    most = max((sums[scope] for scope in articles), default=sums[0])
+    # the innermost such, as scopes are numbered from outside in
+    chosen = max(scope for scope in articles or range(len(sums)) if sums[scope] >= HOLDS_CONTENT * most)
+    inside = [chosen == 0]
+    for scope in range(1, len(page.parents)):
+        inside.append(scope == chosen or inside[page.parents[scope]])
+    region = [inside[line.scope] and content[line.scope] and not line.outside for line, _ in found]
+    first, last = 0, len(found) - 1
+    if not articles:
+        marked = [k for k in np.flatnonzero(upper).tolist() if region[k]] or [0]
+        first, last = marked[0], marked[-1]
+
+        def goes_on(k: int, scope: int) -> bool:
+            """Whether a line next to the region belongs to it: a heading, or a neighbour in the same element that is no menu."""
+            if not 0 <= k < len(found) or not region[k]:
+                return False
+            line, text = found[k]
+            beside = line.scope == scope and page.kinds[scope] != "page" and line.linked < LINK_LINE * len(text)
+            return beside or (k < first and line.heading)
+
+        while goes_on(first - 1, found[first][0].scope):
+            first -= 1
+        while goes_on(last + 1, found[last][0].scope):
+            last += 1
     return "\n".join(
         text for k, (line, text) in enumerate(found)
-        if not line.outside and (chosen is None or chosen in line.holders) and first <= k <= last
-        and line.linked < LINK_LINE * len(text)
+        if region[k] and first <= k <= last and (upper[k] or line.linked < LINK_LINE * len(text))
     )
 
 
@@ -221,8 +272,9 @@ def extracted(df: DataFrame, key: str = "page_id", html: str = "html", also: tup
     """One row per input row: key, the columns ``also`` as they are, and the page's main text (empty for null or empty
     pages).
 
-    Pages are independent of each other: repeated rows and null keys need nothing special, columns not named are not looked at, and an
-    empty table gives no rows.
+    A block is what stands between two block elements or ``br``; its white space becomes single blanks. Pages of any length and depth are
+    read in one go. Pages are independent of each other: repeated rows and null keys need nothing special, columns not named are not looked at,
+    and an empty table gives no rows.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

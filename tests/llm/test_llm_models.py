@@ -4,6 +4,7 @@ import glob
 import os
 import sys
 import zlib
+import time
 from collections import Counter
 
 import duckdb
@@ -132,6 +133,50 @@ PAGES = [
 ]
 
 
+PROSE = "Long prose goes on and on here, line by line. " * 4
+MENU = "".join(f"<li><a href='/{k}'>entry {k}</a></li>" for k in range(12))
+# content that only the clusters tell from the rest: no article, or menus without a name inside of one
+CLUSTERED = [
+    (f"<body><div><ul>{MENU}</ul></div><div><h1>Head</h1><p>{PROSE}</p><p>short</p><p>{PROSE}</p></div><div><a>a</a> <a>b</a></div><div>Imprint</div></body>",
+     f"Head\n{PROSE.strip()}\nshort\n{PROSE.strip()}"),
+    (f"<article><p>{PROSE}</p><p>{PROSE}</p><ul>{MENU}</ul></article>", f"{PROSE.strip()}\n{PROSE.strip()}"),
+    (f"<article><p>teaser</p></article><article><p>{PROSE}</p><p>end</p></article>", f"{PROSE.strip()}\nend"),
+    (f"<body><div>Login</div><div>Basket</div><div><p>{PROSE}</p><p>{PROSE}</p><p>{PROSE}</p></div><div>Terms</div><div>Imprint</div></body>",
+     "\n".join([PROSE.strip()] * 3)),
+]
+# names that only contain a listed word, or that stand around the content itself
+NAMED = [
+    (f"<nav><a>x</a></nav><div class='{name}'><p>{PROSE}</p><p>{PROSE}</p><p>{PROSE}</p></div>", "\n".join([PROSE.strip()] * 3))
+    for name in ("widget-area", "post-navigation-free", "notice", "comments")
+] + [
+    (f"<div id='social-history'><p>{PROSE}</p><p>{PROSE}</p></div>", "\n".join([PROSE.strip()] * 2)),
+    (f"<article><p>{PROSE}</p><div class='notice-board'>{PROSE}</div><div class='notice'>{PROSE}</div></article>", "\n".join([PROSE.strip()] * 2)),
+]
+
+
+@pytest.mark.parametrize("html,text", CLUSTERED + NAMED)
+def test_main_text_through_the_clusters(html, text):
+    assert main_text.main_text(html) == text
+
+
+def test_smoothing_and_clustering_decide(monkeypatch):
+    wrong = lambda: [k for k, (html, text) in enumerate(CLUSTERED) if main_text.main_text(html) != text]
+    with monkeypatch.context() as patch:
+        patch.setattr(main_text, "threshold", lambda values: 0.0)  # one cluster
+        assert wrong() == [0, 1]
+    page = f"<body><div>Login</div><p>{PROSE}</p><div>x</div><div>y</div><div>z</div><p>{LONG}</p><p>in between</p><p>{LONG}</p><p>{LONG}</p></body>"
+    kept = main_text.main_text(page)
+    monkeypatch.setattr(main_text, "smoothed", lambda values: values)
+    assert main_text.main_text(page) != kept and "in between" in kept
+
+
+def test_main_text_takes_time_in_proportion():
+    for html in ("<div>x" * 60_000, "x" + "</p></i>" * 100_000, "<article><div>x" * 30_000, "<div class=nav><span>x" * 20_000):
+        began = time.process_time()
+        main_text.main_text(html)
+        assert time.process_time() - began < 30, html[:30]
+
+
 @pytest.mark.parametrize("html,text", PAGES)
 def test_main_text(html, text):
     assert main_text.main_text(html) == text

@@ -136,6 +136,39 @@ def test_near_deduplicated_keeps_one_of_each(docs, awkward):
     assert {r.doc_id for r in got.collect()} == {k for k, _, _, kept in near_brute([r[:2] for r in map(tuple, df.collect())]) if kept}
 
 
+def test_near_deduplicated_judges_rows(docs):
+    one, other = text_of(60), text_of(50)
+    rows = [(None, one), (None, one), (1, one), (1, other), (2, other), (0, other), (3, one), (3, one), (4, None), (5, ""), (5, "")]
+    got = sorted(map(str, (tuple(r)[:2] for r in near_dedup.deduplicated(docs(rows)).collect())))
+    # the other text of key 1 is one of key 0's, and goes; the first one is its own
+    want = [(None, one), (None, one), (0, other), (1, one), (4, None), (5, "")]
+    assert got == sorted(map(str, want))
+
+
+def test_a_family_of_near_copies_larger_than_a_task(docs, monkeypatch):
+    """Every pair of the family is above 96 %: it does not shrink by branching, and must not be dropped or multiplied for that."""
+    monkeypatch.setattr(near_dedup, "TASK_ROWS", 16)
+    base = text_of(600)
+    rows = [(k, changed(base, 1)) for k in range(64)] + [(100 + k, text_of(40)) for k in range(200)]
+    got = near_dedup.near_duplicates(docs(rows)).where("doc_id < 100").select("component_id").distinct().collect()
+    assert [r.component_id for r in got] == [0]
+    seen, own = [], near_dedup.candidates
+    monkeypatch.setattr(near_dedup, "candidates", lambda sets: own(sets, seen))
+    near_dedup.near_duplicates(docs(rows)).count()
+    assert max(seen) < 2 * seen[0]
+
+
+def test_tiles_link_what_is_unlike_the_hub():
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 256, near_dedup.ROWS).astype(np.uint8)
+    rows = np.stack([base] * 6)
+    rows[3:, :100] = rng.integers(0, 256, 100)  # three that are alike among each other only
+    rows[5, :30] = base[:30]
+    sizes, left = np.full(6, 50), np.array([False, False, False, True, True, False])
+    found = near_dedup.tile_links(rows, sizes, left, np.array([True, True, True, False, False, False]))
+    assert all(near_dedup.AGREEING <= (rows[i] == rows[j]).sum() for i, j in found)
+
+
 def test_branching_inside_a_task_finds_what_comparing_all_finds(monkeypatch):
     monkeypatch.setattr(near_dedup, "SMALL_NODE", 8)
     base = [np.unique(np.random.default_rng(k).integers(0, 1 << 60, 300).astype(np.uint64)) for k in range(40)]
