@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
@@ -29,9 +30,12 @@ from pactmill import session
 
 TOKENS_TOGETHER = 1_000_000  # tokens of both sides that are aligned in one numpy pass
 WORDS_TOGETHER = 100_000  # words of a document that are aligned in one part
-CACHED_WORDS, CACHED_CHARACTERS = 200_000, 4_000_000
+CACHED_WORDS, CACHED_CHARACTERS = 300_000, 6_000_000
+LONG_WORD = 1_000  # characters from which on a word is encoded apart
 FREQUENT_PAIRS = 100_000
 
+# Fixed value: the pattern of byte-level pre-tokenizers.
+_BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # A blank between a character that is no white space and a word. Neither tokenizer has a token that reaches over one, so
 # words can be encoded, and remembered, one by one; ``Encoder`` makes sure that the vocabularies allow it.
 _CUT = re.compile(r"(?<=\S) (?= *[^ ])")
@@ -69,9 +73,21 @@ class Encoder:
             before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
             and cutting.get("normalizer") is None and not any(b" " in one.lstrip(b" ") for one in self.b_bytes)
         )
+        self.quick = self._quick(cutting, names) if self.by_word else None
         self.words: dict[str, tuple[bytes, bytes] | None] = {}
         self.characters = 0
 
+    def _quick(self, cutting: dict, names: dict[str, int]) -> tiktoken.Encoding | None:
+        """The same encoder in a quicker library, if ids follow the order of the merges: the lowest rank then is the earliest merge."""
+        model = cutting["model"]
+        pairs = [merge.split(" ") if isinstance(merge, str) else merge for merge in model["merges"]]
+        base = len(names)  # the bytes come first
+        usual = not any(model.get(name) for name in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+        if not usual or any(model["vocab"][a + b] != base + k for k, (a, b) in enumerate(pairs)):
+            return None
+        ranks = {bytes(names[c] for c in token): k for token, k in model["vocab"].items() if k < base + len(pairs)}
+        return tiktoken.Encoding("a", pat_str=_BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
+
     def cut(self, text: str) -> list[str]:
         return _CUT.split(text) if self.by_word else [text]
 
@@ -79,7 +95,10 @@ class Encoder:
         """Ids of words that do not end in white space, encoded as one text and cut at their ends. Where its bytes are not given back, the
         halves are encoded apart, down to the words it is due to."""
         content = " " + " ".join(words)
-        a = self.a.encode_batch_fast([content], add_special_tokens=False)[0].ids
+        if self.quick and len(words[0]) < LONG_WORD:
+            a = self.quick.encode_ordinary(content)
+        else:
+            a = self.a.encode_batch_fast([content], add_special_tokens=False)[0].ids
         b = self.b.encode(content[1:])
         whole = content.encode()
         if not b"".join(map(self.a_bytes.__getitem__, a)) == whole == b"".join(map(self.b_bytes.__getitem__, b)):
@@ -96,7 +115,7 @@ class Encoder:
 
     def _learn(self, words: list[str]) -> None:
         for word in words:
-            if not word or word[-1].isspace():
+            if not word or word[-1].isspace() or len(word) >= LONG_WORD:
                 self.words[word] = self._together([word])[0]
         plain = [word for word in words if word not in self.words]
         for k in range(0, len(plain), 1_024):
