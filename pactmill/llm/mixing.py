@@ -110,16 +110,18 @@ def mixed(
 
     ``size`` counts the words of the whole text, none for null. A source is taken in whole passes plus, by hash, those
     documents that fill up the rest of its target; the document at the boundary is taken if that comes nearer to the
-    target. No document is taken more than ``most`` times. Rows without words take nothing. Rows with the same key and
+    target. No document is taken more than ``most`` times. Rows without words take nothing. Rows that share a key, or have none, are
+    taken in the order of a hash of their texts, so that reruns agree however the rows are dealt out; rows with the same key and
     text are interchangeable: which of them is taken does not show. An empty table gives no rows.
     """
     spark = df.sparkSession
     own = key_hash(F.col(key), seed)
-    tie = F.pmod(F.xxhash64(F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")), F.monotonically_increasing_id()), F.lit(1 << HASH_BITS))
+    narrowed = lambda *parts: F.pmod(F.xxhash64(F.lit(seed), *parts), F.lit(1 << HASH_BITS))
     rows = session.stored(
         df.select(
             (F.struct("*") if whole_rows else F.col(key)).alias("row"), F.col(source).alias("source"), _words(F.col(text)).alias("size"),
-            F.coalesce(own, F.lit(0)).alias("hash"), tie.alias("tie"),
+            F.coalesce(own, F.lit(0)).alias("hash"), narrowed(F.col(text)).alias("tie"),
+            narrowed(F.monotonically_increasing_id()).alias("place"),  # only tells rows that agree in key and text apart
         ),
         "document-sizes",
     )
@@ -135,10 +137,11 @@ def mixed(
         _bounded(by_source.withColumnRenamed("source", "_source"), n_sources), F.col("source").eqNullSafe(F.col("_source"))
     )
     shifts = range(HASH_BITS - LEVEL_BITS, -1, -LEVEL_BITS)
-    names = [f"c{i}" for i in range(2 * len(shifts))]
+    parts = ("hash", "tie", "place")
+    names = [f"c{i}" for i in range(len(parts) * len(shifts))]
     cells = {
         name: F.shiftright(F.col(part), shift).bitwiseAND(F.lit((1 << LEVEL_BITS) - 1))
-        for name, (part, shift) in zip(names, [(p, s) for p in ("hash", "tie") for s in shifts])
+        for name, (part, shift) in zip(names, [(p, s) for p in parts for s in shifts])
     }
     sized = joined.where("size > 0").select("source_no", "size", *[c.alias(n) for n, c in cells.items()])
     cut = thresholds(sized, budgets.select("source_no", "budget"), n_sources, names)

@@ -400,3 +400,10 @@ def test_both_trees_merge_alike(encoding, monkeypatch, longest, characters):
         assert np.frombuffer(ids, "<u4").tolist() == encoding.encode_ordinary(text)
         assert codec.decode(ids) == text.encode()
 
+
+
+def test_mixes_agree_however_rows_are_dealt_out(docs):
+    rows = [(None if k % 3 else 7, text_of(3 + k % 9), None, "ab"[k % 2]) for k in range(160)] + [(7, "one two three", None, "a")] * 5
+    outcomes = [Counter(map(tuple, mixing.mixed(docs(rows, parts), seed=3, whole_rows=True).select("row.doc_id", "row.text", "taken").collect()))
+                for parts in (2, 5)]
+    assert outcomes[0] == outcomes[1] and outcomes[0].total() == len(rows)
