@@ -138,10 +138,10 @@ def _gradients(net: Network, codes: np.ndarray, target: np.ndarray) -> list[np.n
 
 def fit(
     labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = 250,
-    sample_characters: int = 4_000, seed: int = 0,
+    windows_per_row: int = 16, seed: int = 0,
 ) -> Network | None:
     """Train on a bounded sample: of every language the ``per_language`` rows that come first by a hash of the key, and of
-    each the first ``sample_characters`` characters. None if there is no labelled text."""
+    each ``windows_per_row`` windows drawn from all over its text, or the whole text if it has no more. None if there is no labelled text."""
     labelled = labelled.where(F.col(lang).isNotNull() & F.rlike(F.coalesce(text, F.lit("")), F.lit(r"\p{L}")))
     hashed = labelled.select(
         F.col(lang).alias("lang"), F.xxhash64(F.lit(seed), F.col(key), F.col(lang)).alias("h"), F.col(text).alias("text")
@@ -155,17 +155,23 @@ def fit(
         (row["lang"], min((1 << 63) - 1, (2 * per_language + 100 << 64) // row["count"] - (1 << 63))) for row in counts
     ]
     edge = F.create_map(*[part for name, h in edges for part in (F.lit(name), F.lit(h).cast("bigint"))])[F.col("lang")]
-    near = hashed.where(F.col("h") <= edge).withColumn("text", F.substring("text", 1, sample_characters))
+    count = F.ceil(F.length("text") / WINDOW).cast("bigint")
+    at = lambda k: F.when(count > windows_per_row, F.pmod(F.xxhash64("h", k), count)).otherwise(k)
+    drawn = F.transform(
+        F.sequence(F.lit(0), F.least(count, F.lit(windows_per_row)).cast("int") - 1),
+        lambda k: F.substring("text", (at(k) * WINDOW + 1).cast("int"), F.lit(WINDOW)),
+    )
+    near = hashed.where(F.col("h") <= edge).withColumn("text", drawn)
     rows = near.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).collect()
     rows.sort(key=lambda row: (row.lang, row.n))
-    return train([row.text for row in rows], [row.lang for row in rows], seed=seed)
+    return train([part for row in rows for part in row.text], [row.lang for row in rows for _ in row.text], seed=seed)
 
 
 def predicted(df: DataFrame, net: Network | None, text: str = "text") -> DataFrame:
     """``df`` as a struct column ``row``, with lang_pred and score, the probability of that language.
 
     Null texts and texts without a letter are ``und`` with score 0, as is everything if there is no network. The whole
-    text counts. Ties go to the language that sorts first. Rows are independent; an empty table gives no rows.
+    text counts. Ties go to the language that sorts first. Rows are independent, columns may have any names; an empty table gives no rows.
     """
     inner = [f"c{i}" for i in range(len(df.columns))]  # so that no name can clash
     at_text = df.columns.index(text)

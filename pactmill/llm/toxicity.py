@@ -122,34 +122,35 @@ def train(
 
 
 def fit(
-    df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", per_label: int = 2_000,
-    sample_characters: int = 20_000, seed: int = 0,
+    df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", per_label: int = 2_000, seed: int = 0,
 ) -> Model | None:
-    """Train on a bounded sample of the labelled rows given: of each label the ``per_label`` that come first by a hash of
-    the key, and of each text its first ``sample_characters`` characters. Sampled rows stand for all of their label. None unless both labels occur.
+    """Train on a bounded sample of the labelled rows given, with their whole texts: of each label the ``per_label`` that come first by a hash of
+    the key. Of rows that share a key one counts, the first by a hash of its text. Sampled rows stand for all of their label. None unless both labels occur.
     """
-    ranked = labels.where(F.col(label).isin(0, 1)).select(key, F.col(label).cast("int").alias("_label"))
+    ranked = labels.where(F.col(label).isin(0, 1)).select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label"))
     counts = dict(tuple(row) for row in ranked.groupBy("_label").count().collect())
     if set(counts) != {0, 1}:
         return None
     chosen = [
-        ranked.where(F.col("_label") == y).orderBy(F.xxhash64(F.lit(seed), F.col(key))).limit(per_label) for y in (0, 1)
+        ranked.where(F.col("_label") == y).orderBy(F.xxhash64(F.lit(seed), F.col("_key"))).limit(per_label) for y in (0, 1)
     ]
-    sample = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most twice per_label rows
-    rows = df.select(key, F.substring(text, 1, sample_characters).alias("_text")).join(sample, key).orderBy(key, "_text")
-    rows = rows.select("_text", "_label").limit(4 * per_label).collect()
+    sample = F.broadcast(chosen[0].unionByName(chosen[1]).distinct())  # at most twice per_label rows
+    rows = df.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(sample, "_key")
+    # one row a key, chosen in the tasks that read them, so that no more rows than are sampled reach the driver
+    rows = rows.groupBy("_key", "_label").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text")).select("_key", "_text", "_label").collect()
     if not rows:
         return None
-    found = Counter(row[1] for row in rows)
-    return train([row[0] or "" for row in rows], [row[1] for row in rows], [counts[row[1]] / found[row[1]] for row in rows])
+    rows.sort(key=lambda row: (str(row[0]), row[2]))
+    found = Counter(row[2] for row in rows)
+    return train([row[1] or "" for row in rows], [row[2] for row in rows], [counts[row[2]] / found[row[2]] for row in rows])
 
 
 def scored(df: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: key, score and ``offending``, the sentences that are likely toxic themselves (begin and end
     in characters, score).
 
-    The whole text counts. Null and empty texts have no sentence and score 0, as has everything without a model. Rows are
-    independent; an empty table gives no rows.
+    The whole text counts, and sentences of any length. Null and empty texts have no sentence and score 0, as has everything without a model. Rows are
+    independent, columns not named are not looked at; an empty table gives no rows.
     """
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
     shape = (
