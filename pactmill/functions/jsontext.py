@@ -65,6 +65,45 @@ def is_object_text(json_text: Column) -> Column:
     return F.startswith(json_text, F.lit("{"))
 
 
+# strings, the signs of the layout, blanks, and everything else
+_JSON_TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[{}\[\],:]|[ \t\r\n]++|[^ \t\r\n{}\[\],:"]++'
+
+
+def top_level_value(text: Column, name: str) -> Column:
+    """The JSON text that a top-level key has in an object, exactly as it is written; of repeated keys the last counts, as it
+    does for :func:`wrapped`. NULL where the key is absent. ``text`` must be strict JSON of an object.
+
+    One pass over the tokens keeps the depth, the key it is in and where that key's value begins and ends.
+    """
+    def step(at: Column, token: Column) -> Column:
+        outer = at["depth"] == 1
+        ends = outer & token.isin(",", "}")
+        own = ends & (at["key"] == F.lit(json.dumps(name, ensure_ascii=False)))
+        starts = outer & (token == ":")
+        # escaped letters in a key are read; in a value it does not matter what this does
+        plain = F.when(F.contains(token, F.lit("\\")), F.to_json(F.from_json(F.concat(F.lit("["), token, F.lit("]")), "array<string>")))
+        word = F.coalesce(F.substring(plain, F.lit(2), F.length(plain) - 2), token)
+        return F.struct(
+            (at["place"] + F.length(token)).alias("place"),
+            (at["depth"] + F.when(token.isin("{", "["), 1).when(token.isin("}", "]"), -1).otherwise(0)).alias("depth"),
+            F.when(outer & F.startswith(token, F.lit('"')), word).otherwise(at["word"]).alias("word"),
+            F.when(starts, at["word"]).when(ends, F.lit(None).cast("string")).otherwise(at["key"]).alias("key"),
+            F.when(starts, at["place"] + 1).otherwise(at["begin"]).alias("begin"),
+            F.when(own, at["begin"]).otherwise(at["first"]).alias("first"),
+            F.when(own, at["place"]).otherwise(at["last"]).alias("last"),
+        )
+
+    nothing = F.lit(None).cast("string")
+    start = F.struct(
+        F.lit(1).alias("place"), F.lit(0).alias("depth"), nothing.alias("word"), nothing.alias("key"), F.lit(0).alias("begin"),
+        F.lit(0).alias("first"), F.lit(0).alias("last"),
+    )
+    value = lambda at: F.when(
+        at["last"] > 0, F.btrim(F.substring(text, at["first"], at["last"] - at["first"]), F.lit(" \t\r\n"))
+    )
+    return F.aggregate(F.regexp_extract_all(text, F.lit(_JSON_TOKEN), F.lit(0)), start, step, value)
+
+
 def encode_call(call: Column) -> Column:
     """Compact JSON text of a struct; null fields and non-ASCII characters are kept."""
     return F.to_json(call, {"ignoreNullFields": "false"})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import threading
+import multiprocessing
 import time
 from collections.abc import Callable, Iterator
 
@@ -49,46 +49,110 @@ def pair_with_cases(cases: DataFrame, answers: DataFrame, key: str = "case_id",
     return together.withColumn(answer, F.coalesce(F.col(answer), F.lit("")))
 
 
-def _answer(model: Callable[[str], str], text: str, limit_s: float) -> tuple[str, str | None]:
-    """Answer and error of one call. A call that takes longer than the limit is left behind in its thread."""
-    said: list[tuple[str, str | None]] = []
+class _Caller:
+    """Runs a caller's model in a process of its own, which is ended when a call takes too long and started anew for the next one."""
 
-    def call() -> None:
-        try:
-            said.append((model(text), None))
-        except Exception as failure:  # noqa: BLE001 - any failure of the caller's model is recorded
-            said.append(("", f"{type(failure).__name__}: {failure}"))
+    def __init__(self, load: Callable[[], Callable], batch: int | None, limit_s: float) -> None:
+        self.load, self.batch, self.limit_s = load, batch, limit_s
+        self.process = self.pipe = None
 
-    thread = threading.Thread(target=call, daemon=True)
-    thread.start()
-    thread.join(limit_s)
-    return said[0] if said else ("", f"TimeoutError: no answer within {limit_s:g} s")
+    def _serve(self, pipe) -> None:
+        try:
+            model = self.load()
+        except Exception as failure:  # noqa: BLE001 - sent to the task, which fails with it
+            pipe.send((None, f"{type(failure).__name__}: {failure}"))
+            return
+        pipe.send((True, None))
+        while (texts := pipe.recv()) is not None:
+            try:
+                said = list(model(texts)) if self.batch else [model(texts[0])]
+                if len(said) != len(texts):
+                    raise ValueError(f"{len(said)} answers to {len(texts)} texts")
+                pipe.send((said, None))
+            except Exception as failure:  # noqa: BLE001 - any failure of the caller's model is recorded
+                pipe.send((None, f"{type(failure).__name__}: {failure}"))
+
+    def _start(self) -> None:
+        forked = multiprocessing.get_context("fork")  # the model need not be sent, and the worker has no other threads
+        self.pipe, far = forked.Pipe()
+        self.process = forked.Process(target=self._serve, args=(far,), daemon=True)
+        self.process.start()
+        far.close()
+        try:
+            ready, error = self.pipe.recv()
+        except EOFError:
+            ready, error = None, "its process ended"
+        if not ready:
+            self.end()
+            raise RuntimeError(f"the model could not be loaded: {error}")
+
+    def call(self, texts: list[str]) -> tuple[list[str], str | None]:
+        """Answers to texts, or empty ones and the reason."""
+        if self.process is None:
+            self._start()
+        error = f"TimeoutError: no answer within {self.limit_s:g} s"
+        try:
+            self.pipe.send(texts)
+            if self.pipe.poll(self.limit_s):
+                said, error = self.pipe.recv()
+                return (said, None) if error is None else ([""] * len(texts), error)
+        except (EOFError, OSError):
+            error = "ChildProcessError: the model's process ended"
+        self.end()
+        return [""] * len(texts), error
+
+    def end(self) -> None:
+        if self.process is not None:
+            self.process.kill()
+            self.process.join()
+            self.process.close()
+            self.pipe.close()
+        self.process = self.pipe = None
 
 
 def generate(
-    df: DataFrame, instruction: str, load: Callable[[], Callable[[str], str]], keep: list[str],
-    limit_s: float = fv.TIMEOUT_SECONDS,
+    df: DataFrame, instruction: str, load: Callable[[], Callable], keep: list[str], limit_s: float = fv.TIMEOUT_SECONDS,
+    batch: int | None = None,
 ) -> DataFrame:
     """Run a caller's model over every instruction and store what it says, so that nothing that reads the result calls the
     model again.
 
-    ``load`` is called once per partition and returns the function from instruction to answer. A call that fails, or
-    takes longer than ``limit_s`` seconds, gives the empty answer and its error text; the job goes on.
+    ``load`` is called once per partition, in a process of its own, and returns the function from instruction to answer; with ``batch``, the
+    function from a list of up to so many instructions to the list of their answers. A call that fails, or takes longer than ``limit_s``
+    seconds, gives empty answers and its error text; the job goes on. A call that is too long is ended with its process, and the model is
+    loaded again for the next one. ``elapsed_ms`` is a text's share of its call.
     """
     kept = df.select(*keep, F.col(instruction).alias("instruction"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
+    size = batch or 1
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        answer_one = load()
-        for batch in batches:
+        caller = _Caller(load, batch, limit_s)
+
+        def answered(rows: pd.DataFrame) -> pd.DataFrame:
             answers, errors, elapsed = [], [], []
-            for text in batch["instruction"]:
+            texts = rows["instruction"].tolist()
+            for at in range(0, len(texts), size):
+                part = texts[at:at + size]
                 began = time.perf_counter()
-                answer, error = _answer(answer_one, text, limit_s)
-                answers.append(answer)
-                errors.append(error)
-                elapsed.append(int((time.perf_counter() - began) * 1000))
-            yield batch.assign(raw=answers, error=errors, elapsed_ms=elapsed)
-
-    answered = kept.mapInPandas(run, f"{schema}, raw string, error string, elapsed_ms bigint")
-    return session.stored(answered, "generated")
+                said, error = caller.call(part)
+                answers += said
+                errors += [error] * len(part)
+                elapsed += [int((time.perf_counter() - began) * 1000 / len(part))] * len(part)
+            return rows.assign(raw=answers, error=errors, elapsed_ms=elapsed)
+
+        try:
+            rest = None
+            for rows in batches:  # calls reach over Arrow batches, so that only a partition's last one is short
+                rows = rows if rest is None or rest.empty else pd.concat([rest, rows])
+                full = len(rows) // size * size
+                rest = rows.iloc[full:]
+                if full:
+                    yield answered(rows.iloc[:full])
+            if rest is not None and not rest.empty:
+                yield answered(rest)
+        finally:
+            caller.end()
+
+    generated = kept.mapInPandas(run, f"{schema}, raw string, error string, elapsed_ms bigint")
+    return session.stored(generated, "generated")

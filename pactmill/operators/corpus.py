@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pactmill import fixed_values as fv
+from pactmill import fixed_values as fv, session
 from pactmill.functions import chat, jsontext as jx, text as tx
 
 PART_ROWS = 65_536
@@ -62,14 +62,16 @@ def action_grid(categories: DataFrame, column: str, actions: list[str]) -> DataF
 def generated_pairs(df: DataFrame, raw: str) -> DataFrame:
     """Read generated examples ``{instruccion, llamada_api}``; the text must be exactly one JSON object.
 
-    Rows that are not keep their raw text and get ``parsed = false``.
+    The instruction is the value as a string; the response is the JSON text of the call as it is written. Of repeated keys
+    the last counts, for both. Rows without an instruction or a call, or with a null one, keep their raw text and get ``parsed = false``.
     """
     text = F.col("_t")
-    rows = df.withColumn("_t", tx.strip(F.col(raw))).withColumn("_v", jx.wrapped(text))
+    rows = session.spread(df).withColumn("_t", tx.strip(F.col(raw))).withColumn("_v", jx.wrapped(text))
     usable = jx.is_strict(F.col("_v"), text) & jx.is_object_text(text)
     rows = rows.withColumn("_i", F.when(usable, F.try_variant_get("_v", "$[0].instruccion", "string")))
     # from the text, which keeps the order of the keys
-    rows = rows.withColumn("_r", F.when(F.col("_i").isNotNull(), F.get_json_object(text, "$.llamada_api")))
+    call = F.when(F.col("_i").isNotNull(), jx.top_level_value(text, "llamada_api"))
+    rows = rows.withColumn("_c", call).withColumn("_r", F.when(F.col("_c") != "null", F.col("_c")))
     parsed = F.col("_r").isNotNull()
     return rows.select(
         *df.columns, parsed.alias("parsed"), F.when(parsed, F.col("_i")).alias("instruction"),

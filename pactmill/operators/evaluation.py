@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pactmill import fixed_values as fv
+from pactmill import fixed_values as fv, session
 from pactmill.functions import contract, jsontext as jx, text as tx
 from pactmill.operators import ordering
 
@@ -35,22 +35,22 @@ def _extract_native(df: DataFrame, raw: str) -> DataFrame:
         return F.when(ok[0], F.col(f"_{name}1")).when(ok[1], F.col(f"_{name}2")).when(ok[2], F.col(f"_{name}3"))
 
     strategy = F.when(ok[0], 1).when(ok[1], 2).when(ok[2], 3).otherwise(0)
-    # Behind a generator of one row: Spark moves filters on other columns below it, down to the scan, and leaves those on
-    # its output above, where they do not repeat the parsing
-    outcome = F.struct(strategy.alias("strategy"), first_success("t").alias("json_text"), first_success("v").alias("_v"))
-    rows = rows.select(*df.columns, F.inline(F.array(outcome)))
     # one cast reads all fields of an object: one holding JSON null is a non-NULL variant, an absent one is NULL
     fields = ", ".join(f"{name} variant" for name in _FACTS)
-    rows = rows.withColumn("_f", F.try_variant_get("_v", "$[0]", f"struct<{fields}>"))
+    rows = rows.select(
+        *df.columns, strategy.alias("_strategy"), first_success("t").alias("_text"),
+        F.try_variant_get(first_success("v"), "$[0]", f"struct<{fields}>").alias("_f"),
+    )
     found = F.struct(
         *[F.col(f"_f.{name}").isNotNull().alias(f"has_{name}") for name in _FACTS],
         *[F.try_variant_get(F.col(f"_f.{name}"), "$", "string").alias(name) for name in ("method", "endpoint")],
     )
+    # Behind a generator of one row: Spark moves filters on other columns below it, down to the scan, and leaves those on
+    # its output above, where they do not repeat the parsing. What was parsed ends here; only small facts go through.
+    outcome = F.struct(F.col("_strategy").alias("strategy"), F.col("_text").alias("json_text"), found.alias("found"))
+    rows = rows.select(*df.columns, F.inline(F.array(outcome)))
     is_object = F.coalesce(jx.is_object_text(F.col("json_text")), F.lit(False))
-    return rows.select(
-        *df.columns, _status(F.col("strategy"), is_object).alias("status"), "strategy", "json_text",
-        found.alias("found"),
-    )
+    return rows.select(*df.columns, _status(F.col("strategy"), is_object).alias("status"), "strategy", "json_text", "found")
 
 
 def _extract_exact(df: DataFrame, raw: str) -> DataFrame:
@@ -80,7 +80,8 @@ def extract(df: DataFrame, raw: str = "raw", exact: bool = False) -> DataFrame:
     struct ``found`` with the presence of each field and the two checked values. ``exact`` reads through Python, which
     also accepts NaN and infinities.
     """
-    return _extract_exact(df, raw) if exact else _extract_native(df, raw)
+    rows = session.spread(df)
+    return _extract_exact(rows, raw) if exact else _extract_native(rows, raw)
 
 
 def check(extracted: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pactmill.operators import ordering
 def cap_tokens(df: DataFrame, text: str = "text", cap: int = fv.MAX_SEQ_LENGTH) -> DataFrame:
     """Add the token count, the capped text and whether anything was cut."""
     return (
-        df.withColumn("n_tokens", tx.token_count(F.col(text)))
+        session.spread(df).withColumn("n_tokens", tx.token_count(F.col(text)))
         .withColumn("capped_text", F.when(F.col("n_tokens") > cap, tx.capped(F.col(text), cap)).otherwise(F.col(text)))
         .withColumn("truncated", F.col("n_tokens") > cap)
     )
@@ -21,7 +21,7 @@ def cap_tokens(df: DataFrame, text: str = "text", cap: int = fv.MAX_SEQ_LENGTH)
 def _starts(df: DataFrame, key: str, text: str) -> DataFrame:
     """Key, token count and global start of every row that has tokens. The texts are read once for it: the counts are
     stored and all numbering runs on that narrow table."""
-    counted = session.stored(df.select(key, tx.token_count(F.col(text)).alias("n_tokens")), "token-counts")
+    counted = session.stored(session.spread(df.select(key, text)).select(key, tx.token_count(F.col(text)).alias("n_tokens")), "token-counts")
     return ordering.with_running_start(counted, key, F.col("n_tokens"), "start").where("n_tokens > 0")
 
 

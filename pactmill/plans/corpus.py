@@ -234,6 +234,30 @@ def p14_generated_pairs(spark, sf_dir):
     return corpus.generated_pairs(texts, "raw").select("case_id", "parsed", "instruction", "response", "raw")
 
 
+# calls of every JSON type behind an earlier instruction and call; spaces and digits of a call are kept as they are written
+@query("p14_repeated_keys", """
+WITH c AS (SELECT o_orderkey AS case_id, CASE o_orderkey % 5
+    WHEN 0 THEN '{"id": ' || o_orderkey || ', "total": 1.50, "id": "}"}'
+    WHEN 1 THEN '"orden ' || o_orderkey || '"' WHEN 2 THEN o_orderkey || '.250' WHEN 3 THEN '[ ' || o_custkey || ', {"llamada_api": 0} ]'
+    ELSE 'null' END AS call FROM orders)
+SELECT case_id, case_id % 5 <> 4 AS parsed, CASE WHEN case_id % 5 <> 4 THEN 'Pedido ' || case_id END AS instruction,
+       CASE WHEN case_id % 5 <> 4 THEN call END AS response FROM c""")
+def p14_repeated_keys(spark, sf_dir):
+    k = F.col("o_orderkey")
+    call = (
+        F.when(k % 5 == 0, F.concat(F.lit('{"id": '), k, F.lit(', "total": 1.50, "id": "}"}')))
+        .when(k % 5 == 1, F.concat(F.lit('"orden '), k, F.lit('"')))
+        .when(k % 5 == 2, F.concat(k.cast("string"), F.lit(".250")))
+        .when(k % 5 == 3, F.concat(F.lit("[ "), F.col("o_custkey"), F.lit(', {"llamada_api": 0} ]')))
+        .otherwise("null")
+    )
+    raw = F.concat(
+        F.lit('{"instruccion": "antes", "llamada_api": {"a": [1]}, "instruccion": "Pedido '), k, F.lit('" , "llamada_api" : '), call, F.lit(" }")
+    )
+    texts = table(spark, sf_dir, "orders").select(k.alias("case_id"), raw.alias("raw"))
+    return corpus.generated_pairs(texts, "raw").select("case_id", "parsed", "instruction", "response")
+
+
 @query("n2_settings_by_size", """
 WITH s AS (SELECT lang AS corpus, count(*) AS n FROM documents GROUP BY lang
            UNION ALL SELECT source, count(*) FROM documents GROUP BY source

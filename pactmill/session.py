@@ -73,3 +73,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     folder = scratch_folder(df.sparkSession, label)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows for costly work per row, dealt out evenly where the source is too small to give every core a task of its own.
+
+    A Parquet file of one row group is read by one task, however long its rows take. Only a table that the planner takes to be smaller than a full
+    split per core is dealt out; a larger one has splits enough and is left where it is. Filters and column choices still reach the scan.
+    """
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if size < cores * split else df

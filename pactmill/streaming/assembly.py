@@ -81,7 +81,8 @@ class Assembly(StatefulProcessor):
             pieces = {chunk.seq: chunk.content for chunk in self._waiting()} if final >= 0 else {}
             yield Row(request_id=key[0], answer="".join(pieces[seq] for seq in sorted(pieces)), how="gap" if final >= 0 else "timeout")
         self.record.clear()
-        self.chunks.clear()
+        if waiting:
+            self.chunks.clear()
 
     def _waiting(self) -> Iterator[Row]:
         """The chunks in the order in which they came: a chunk that came twice counts as it came last."""

@@ -4,6 +4,7 @@ import datetime
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from pactmill.operators import answers as an, evaluation as ev
@@ -200,3 +201,60 @@ def test_a_hanging_call_ends_and_models_are_called_once_per_case(spark, tmp_path
     numbered = ev.evaluate(ev.detail(given)).collect()
     assert [(r.raw, r.error) for r in numbered if r.case_id == 3] == [("", "TimeoutError: no answer within 1 s")]
     assert len(numbered) == 6 and len(open(calls).read()) == 6
+
+
+def test_a_call_that_hangs_leaves_no_process(spark, tmp_path):
+    folder = tmp_path / "pids"
+    folder.mkdir()
+
+    def load():
+        import os as system
+        import time as clock
+
+        (folder / str(system.getpid())).write_text("")
+
+        def answer(text):
+            if text == "hang":
+                clock.sleep(600)
+            if text == "die":
+                system._exit(1)
+            return text.upper()
+        return answer
+
+    rows = spark.createDataFrame([(k, q) for k, q in enumerate(["a", "hang", "b", "die", "c"])], "case_id bigint, q string").coalesce(1)
+    got = an.generate(rows, "q", load, ["case_id"], limit_s=1.0).orderBy("case_id").collect()
+    assert [r.raw for r in got] == ["A", "", "B", "", "C"]
+    assert [r.error for r in got] == [None, "TimeoutError: no answer within 1 s", None, "ChildProcessError: the model's process ended", None]
+    pids = [int(p.name) for p in folder.iterdir()]
+    assert len(pids) == 3  # loaded again after each of the two
+    assert not [pid for pid in pids if os.path.exists(f"/proc/{pid}") and "Z" not in open(f"/proc/{pid}/stat").read().split()[2]]
+
+
+def test_batches_are_full_but_for_the_last(spark, tmp_path):
+    calls = str(tmp_path / "calls")
+
+    def load():
+        def answer(texts):
+            with open(calls, "a") as file:
+                file.write(f"{len(texts)}\n")
+            return [t.upper() for t in texts] if "short" not in texts else ["one"]
+        return answer
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        rows = spark.createDataFrame([(k, "short" if k == 30 else f"t{k}") for k in range(50)], "case_id bigint, q string").coalesce(1)
+        got = an.generate(rows, "q", load, ["case_id"], batch=16).orderBy("case_id").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert open(calls).read().split() == ["16", "16", "16", "2"]
+    assert [r.raw for r in got] == ["" if 16 <= k < 32 else f"T{k}" for k in range(50)]
+    assert {r.error for r in got if 16 <= r.case_id < 32} == {"ValueError: 1 answers to 16 texts"}
+
+
+def test_a_model_that_cannot_be_loaded_fails_the_job(spark):
+    def load():
+        raise OSError("no such model")
+
+    rows = spark.createDataFrame([(1, "a")], "case_id bigint, q string")
+    with pytest.raises(Exception, match="could not be loaded: OSError: no such model"):
+        an.generate(rows, "q", load, ["case_id"])

@@ -186,3 +186,20 @@ def test_run_operators(spark):
     assert [(r.step, r.place) for r in runs.kept_checkpoints(rows).orderBy("place").collect()] == [(50, 1), (100, 2), (150, 3)]
     assert sorted(r.step for r in runs.at_cadence(rows, 50).collect()) == [50, 100, 150, 150]
     assert runs.final_figures(rows).where("run_id = 1").first().runtime_min == 1.5
+
+
+def test_generated_pairs_take_the_last_of_repeated_keys_as_written(spark):
+    rows = [
+        ('{"instruccion":"a","llamada_api":{"x":1.50,"x":[1,  2]},"instruccion":"b\\u00e9\\"q","llamada_api":{"z": "k,}"}}', 'bé"q', '{"z": "k,}"}'),
+        ('{"llamada_api":"text, \\"q\\" }","instruccion":5}', "5", '"text, \\"q\\" }"'),
+        ('{"instruccion":"llamada_api","llamada_api" : [1, 2.0, {"llamada_api": 3}] }', "llamada_api", '[1, 2.0, {"llamada_api": 3}]'),
+        ('{"instruccion":"s","llamada\\u005fapi": 1.20e5 }', "s", "1.20e5"),
+        ('{"instruccion":"s","llamada_api":{}, "o": "llamada_api", "p": {"llamada_api": 1}}', "s", "{}"),
+        ('{"instruccion":"s","llamada_api":"' + "z" * 100_000 + '"}', "s", '"' + "z" * 100_000 + '"'),
+        ('{"instruccion":null,"llamada_api":12.30}', None, None), ('{"instruccion":"a","llamada_api":null}', None, None),
+        ('{"instruccion":"x"}', None, None), ("{}", None, None), ("[1]", None, None), (None, None, None),
+    ]
+    df = spark.createDataFrame([(k, t) for k, (t, _, _) in enumerate(rows)], "id int, raw string")
+    got = corpus.generated_pairs(df, "raw").orderBy("id").collect()
+    assert [(r.raw, r.instruction, r.response) for r in got] == rows
+    assert [r.parsed for r in got] == [r[2] is not None for r in rows]
