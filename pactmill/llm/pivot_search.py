@@ -6,7 +6,8 @@ the score of everything in a ring from above. A query first visits its own ring,
 then it visits those rings, in blocks, whose bound is not below that score. Inside a block, rows are sorted by distance, and only the
 stretch that the bound allows is looked at. Results are exact for any pivots.
 
-Large rings are cut into blocks, and so are the queries that meet one, so a task holds a bounded number of both.
+Large rings are cut into blocks, and so are the queries that meet one, so a task holds a bounded number of both. A block is sent
+once per ``QUERY_ROWS`` queries that visit it, and not at all if none does.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ RINGS = 24  # of a pivot; the last one is open-ended
 SAMPLE = 4_096  # vectors that pivots and ring widths are chosen from
 BLOCK_ROWS = 8_192
 QUERY_ROWS = 4_096
+BOUNDED_TOGETHER = 64  # queries whose bounds are taken in one task
+BLOCKS_BROADCAST = 100_000  # more visited blocks than this are joined by a shuffle instead
 SCALE = 1_024
 _EXACT = 2.0**52  # sums of products below this are exact in doubles
 
@@ -130,6 +133,8 @@ def _block_hits(k: int):
         largest = float(np.abs(x).max()) * float(np.abs(q).max()) * x.shape[1]
         if largest < _EXACT:
             x, q = x.astype(float), q.astype(float)
+        elif largest >= 2.0**63:  # products may leave 64 bits: Python's integers, as long as the scores themselves fit
+            x, q = x.astype(object), q.astype(object)
         norm, reach = visiting["norm"].to_numpy(), visiting["reach"].to_numpy(float, na_value=-np.inf)
         # q.x >= reach needs |dist - to_pivot|^2 <= norm^2 + most^2 - 2 reach
         slack = np.sqrt(np.maximum(0.0, norm**2 + most**2 - 2 * np.where(np.isfinite(reach), reach, 0.0) + 4.0))
@@ -140,8 +145,12 @@ def _block_hits(k: int):
         for i, query_id in enumerate(visiting["id"].to_numpy()):
             a, b = first[i], last[i]
             scores, names = (x[a:b] @ q[i]), ids[a:b]
-            fine = (names != query_id) & (scores >= reach[i])
-            scores, names = scores[fine], names[fine]
+            scores, names = scores[names != query_id], names[names != query_id]
+            if scores.dtype == object:
+                if len(scores) and max(map(abs, scores)) >= 1 << 63:
+                    raise OverflowError("an inner product does not fit 64 bits")
+                scores = scores.astype(np.int64)
+            scores, names = scores[scores >= reach[i]], names[scores >= reach[i]]
             if len(scores) > k:  # all that reach the k-th best score, then the smallest ids among ties
                 near = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
                 scores, names = scores[near], names[near]
@@ -154,14 +163,18 @@ def _block_hits(k: int):
     return run
 
 
-def _searched(index: DataFrame, visits: DataFrame, parts: int, k: int) -> DataFrame:
-    """Hits of visits (id, codes, norm, reach, to_pivot, pivot, ring, block) in their blocks. Queries of one block are dealt
-    over ``parts`` groups, to each of which the block is sent."""
-    place = ["pivot", "ring", "block", "part"]
-    stored = index.select("id", "codes", "dist", "norm", "pivot", "ring", "block").withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
-    )
-    dealt = visits.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"))
+def _searched(index: DataFrame, visits: DataFrame, query_rows: int, k: int) -> DataFrame:
+    """Hits of stored visits (id, codes, norm, reach, to_pivot, pivot, ring, block) in their blocks. The visits of a block are dealt
+    over groups of about ``query_rows``, to each of which the block is sent."""
+    block = ["pivot", "ring", "block"]
+    met = visits.groupBy(*block).agg(F.ceil(F.count(F.lit(1)) / query_rows).cast("int").alias("parts"))
+    met = session.stored(met, "visited-blocks")
+    met = F.broadcast(met) if met.count() <= BLOCKS_BROADCAST else met
+    stored = index.select("id", "codes", "dist", "norm", *block).join(met, block).withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    ).drop("parts")
+    dealt = visits.join(met, block).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).drop("parts")
+    place = [*block, "part"]
     return stored.groupBy(*place).cogroup(dealt.groupBy(*place)).applyInPandas(_block_hits(k), _HITS)
 
 
@@ -179,7 +192,8 @@ def top_k(
 
     Vectors that are null, empty or hold a null or non-finite component take no part, nor do rows without an id. Vectors
     of different lengths are compared over the components both have. Rows that share an id are all candidates, but not of queries with
-    that id; the first of them by components is the query. An empty table gives no rows.
+    that id; the first of them by components is the query. Components may be as large as scores of 64 bits allow: a score beyond
+    them is an error, none is ever wrapped. An empty table gives no rows.
     """
     spark = df.sparkSession
     rows = quantized(df, key, vector)
@@ -208,16 +222,16 @@ def top_k(
         F.min(F.struct("codes", "pivot", "ring", "dist", "norm")).alias("q")
     ).select("id", "q.*")
     asked = session.stored(in_blocks(asked), "queries")
-    parts = max(1, math.ceil(asked.count() / query_rows))
+    tasks = max(1, math.ceil(asked.count() / BOUNDED_TOGETHER))
     own = asked.withColumn("reach", F.lit(None).cast("double")).withColumnRenamed("dist", "to_pivot")
     # the own block first: its k-th best score is what others have to reach
-    near = _best(_searched(index, own, parts, k), k).groupBy("query_id").agg(
+    near = _best(_searched(index, own, query_rows, k), k).groupBy("query_id").agg(
         F.when(F.count(F.lit(1)) == k, F.min("score").cast("double")).alias("reach")
     )
     ready = session.stored(asked.join(near, asked["id"] == near["query_id"], "left").drop("query_id", "block"), "reached-queries")
     shape = (
         "id bigint, codes array<bigint>, norm double, reach double, to_pivot double, pivot int, ring int, block int"
     )
-    visits = ready.mapInPandas(_visits(chosen, directory), shape)
-    found = _best(_searched(index, visits, parts, k), k)
+    visits = session.stored(ready.repartition(tasks).mapInPandas(_visits(chosen, directory), shape), "visits")
+    found = _best(_searched(index, visits, query_rows, k), k)
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -360,6 +360,26 @@ def test_top_k_of_few_or_none(spark):
     assert pivot_search.top_k(one.limit(0), lambda v: v % 10 == 0).count() == 0
 
 
+def test_top_k_of_huge_components(spark):
+    """Where the bound on a product passes 64 bits but the product does not, it is exact; one that does is an error."""
+    rows = [(0, [4e6, 0.0]), (1, [0.0, 4e6]), (2, [1.0, 1.0]), (3, [-4e6, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    far = 4 * 10**6 * 1024
+    got = [tuple(r)[2:] for r in pivot_search.top_k(df.where("vec_id < 3"), lambda v: v == 0).orderBy("rank").collect()]
+    assert got == [(2, far * 1024), (1, 0)]
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        pivot_search.top_k(df, lambda v: v == 0).collect()
+
+
+def test_blocks_go_only_where_they_are_visited(spark):
+    index = spark.range(100).selectExpr("id", "array(id) codes", "double(id) dist", "double(id) norm", "0 pivot", "0 ring", "int(id % 4) block")
+    visits = spark.range(9).selectExpr(
+        "id + 1000 id", "array(1L) codes", "double(1) norm", "double(null) reach", "double(0) to_pivot", "0 pivot", "0 ring", "int(if(id = 0, 3, 1)) block"
+    )
+    plan_rows = pivot_search._searched(index, visits, 4, 1).collect()
+    assert {(r.query_id, r.vec_id) for r in plan_rows} == {(1000, 99), *((1000 + k, 97) for k in range(1, 9))}
+
+
 # byte-level BPE
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
