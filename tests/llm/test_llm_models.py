@@ -1,15 +1,18 @@
 """Trained operators by held-out accuracy, extraction by hand-made pages, all registered queries, and the pipeline."""
 
 import glob
+import hashlib
 import os
 import sys
-import zlib
 import time
+import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), "tools"))
@@ -17,7 +20,9 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(
 import __spark_entry__ as entry
 import check_queries
 import corpus_pipeline
-from pactmill.llm import language_id, main_text, queries, toxicity
+from pactmill import session
+from pactmill.llm import byte_bpe, language_id, main_text, queries, toxicity
+from test_llm_tables import lowered, near_brute
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -248,3 +253,59 @@ def test_pipeline(spark, documents):
 def test_pipeline_stages_on_an_empty_table(spark, documents):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, documents.limit(0), SF_DIR).count() == 0
+
+
+def test_pipeline_stages_against_brute_force(spark):
+    """Every stage on what its predecessor kept, nulls, ties and repeated rows among it, against a plain statement of what it does."""
+    folder = SF_DIR.replace("sf0.01", "sf0.001")
+    queries.prepare(spark)
+    given = spark.read.parquet(f"{folder}/documents.parquet")
+    some = [r for r in given.where("length(text) > 200").orderBy("doc_id").limit(6).collect()]
+    more = [(None, some[0].text, "en", "web", 1), (None, "Alone without a key, but with some words of its own.", None, None, 1), (90_001, None, "en", "web", 0),
+            (90_002, "", None, None, 0), (90_003, "12 34 !", "en", "web", 7), (90_004, some[1].text.upper(), None, "web", 1),
+            (90_005, some[2].text + " end", "en", None, 1), (90_006, some[3].text, "en", "a", 1), (90_006, some[3].text, "en", "a", 1)]
+    docs = session.stored(given.unionByName(spark.createDataFrame(more, given.schema)).repartition(5), "given")
+    stages = dict(corpus_pipeline.STAGES)
+    rows = lambda df: Counter(tuple(r) for r in df.collect())
+
+    net = language_id.fit(docs.where(language_id.remainder("doc_id", 4) != 2))
+    tables, want = net.pair_tables(), Counter()
+    for row in docs.collect():
+        data = (row.text or "").encode()
+        sums = np.zeros(len(net.languages))
+        for k in range(0, len(data), language_id.WINDOW):
+            part = np.frombuffer(data[k:k + language_id.WINDOW], np.uint8)
+            codes = np.pad(language_id._CODE_OF[part], (0, language_id.WINDOW - len(part)))[None, :]
+            sums += net.log_probabilities(codes, tables)[0] * len(part)
+        if any(c.isalpha() for c in row.text or "") and np.exp(language_id._log_softmax(sums[None, :] / len(data))).max() >= 0.5:
+            want[tuple(row)] += 1
+    kept = session.stored(stages["language"](spark, docs, folder), "kept")
+    assert rows(kept) == want and not [r for r in want if r[0] in (90_001, 90_002, 90_003)]
+
+    best = {}
+    for row in kept.collect():
+        content = lowered(row.text)
+        if content not in best or (row.doc_id or -1) > (best[content].doc_id or -1):
+            best[content] = row
+    exact = session.stored(stages["exact_dedup"](spark, kept, folder), "exact")
+    assert rows(exact) == Counter(map(tuple, best.values()))
+
+    near = session.stored(stages["near_dedup"](spark, exact, folder), "near")
+    first = {k for k, _, _, stays in near_brute([tuple(r)[:2] for r in exact.collect()]) if stays}
+    assert rows(near) == Counter(tuple(r) for r in exact.collect() if r.doc_id is None or r.doc_id in first)
+
+    near = session.stored(near.where("doc_id is not null"), "keyed")  # SQL orders them by a hash of the key
+    con = duckdb.connect()
+    con.register("documents", near.toPandas())
+    taken = {k: n // size for k, size, _, _, n in con.sql(queries.ORACLES["op8_source_mix"]).fetchall() if size}
+    mix = session.stored(stages["mix"](spark, near, folder), "mix")
+    assert rows(mix) == Counter({tuple(r): taken[r.doc_id] for r in near.collect() if taken.get(r.doc_id)})
+
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    coded = Counter()
+    for row in mix.collect():
+        ids = plain.encode_ordinary(row.text)
+        digests = (hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(row.text.encode()).hexdigest())
+        coded[row.doc_id, len(ids), *digests] += 1
+    assert rows(stages["bpe"](spark, mix, folder)) == coded
