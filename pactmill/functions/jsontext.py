@@ -12,6 +12,7 @@ import json
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from pactmill.functions import text as tx
 
@@ -109,6 +110,35 @@ def encode_call(call: Column) -> Column:
     return F.to_json(call, {"ignoreNullFields": "false"})
 
 
+def encode_indented(value: Column, kind: DataType, width: int = 2, depth: int = 0) -> Column:
+    """JSON text of a struct, array or map of type ``kind``, laid out in lines. Nulls and non-ASCII characters are kept; empty containers
+    stay on their line. The layout follows from the type, so it is one expression; text that is JSON already goes to :func:`indented`.
+    """
+    inner, outer = "\n" + " " * (width * (depth + 1)), "\n" + " " * (width * depth)
+    listed = lambda x: F.to_json(F.array(x))
+    leaf = lambda x: F.substring(listed(x), F.lit(2), F.length(listed(x)) - 2)
+    below = lambda x, of: encode_indented(x, of, width, depth + 1)
+    if isinstance(kind, StructType):
+        if not kind.fields:
+            return F.when(value.isNull(), "null").otherwise("{}")
+        parts = [F.concat(F.lit(json.dumps(f.name, ensure_ascii=False) + ": "), below(value[f.name], f.dataType)) for f in kind.fields]
+        text = F.concat(F.lit("{" + inner), F.concat_ws("," + inner, *parts), F.lit(outer + "}"))
+    elif isinstance(kind, (ArrayType, MapType)):
+        signs = "[]" if isinstance(kind, ArrayType) else "{}"
+        if isinstance(kind, ArrayType):
+            parts = F.transform(value, lambda x: below(x, kind.elementType))
+        else:
+            parts = F.transform(F.map_entries(value), lambda e: F.concat(
+                leaf(e["key"].cast("string")), F.lit(": "), below(e["value"], kind.valueType)
+            ))
+        text = F.when(F.size(value) == 0, signs).otherwise(
+            F.concat(F.lit(signs[0] + inner), F.array_join(parts, "," + inner), F.lit(outer + signs[1]))
+        )
+    else:
+        return leaf(value)
+    return F.when(value.isNull(), "null").otherwise(text)
+
+
 def _storable(text: str) -> str:
     """Text that can be stored: half of a surrogate pair, which JSON can escape, becomes the replacement character."""
     return text.encode("utf-8", "surrogatepass").decode("utf-8", "replace") if not text.isascii() else text

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Column, functions as F
 
 from pactmill import fixed_values as fv, session
 from pactmill.functions import batched, chat, jsontext as jx, text as tx
@@ -74,15 +74,7 @@ def p1_build_examples(spark, sf_dir):
     return built.select("conv_id", "turn", joined.alias("example"))
 
 
-@query("p2_encode_call", """
-SELECT o_orderkey,
-       '{"endpoint":"/api/v2/orders/create","method":"POST","headers":{"X-Priority":"' || o_orderpriority
-       || '"},"body":{"customer_id":' || o_custkey || ',"urgent":'
-       || CASE WHEN o_orderpriority = '1-URGENT' THEN 'true' ELSE 'false' END
-       || ',"note":' || CASE WHEN o_orderstatus = 'O' THEN 'null' ELSE '"año ' || o_orderstatus || '"' END
-       || ',"items":[{"sku":"SKU-' || o_orderkey || '","quantity":' || (o_orderkey % 7) || '}],"valid_until":null}}'
-       AS call FROM orders""")
-def p2_encode_call(spark, sf_dir):
+def _created_order() -> Column:
     k = F.col("o_orderkey")
     body = F.struct(
         F.col("o_custkey").alias("customer_id"), (F.col("o_orderpriority") == "1-URGENT").alias("urgent"),
@@ -90,11 +82,34 @@ def p2_encode_call(spark, sf_dir):
         F.array(F.struct(F.concat(F.lit("SKU-"), k).alias("sku"), (k % 7).alias("quantity"))).alias("items"),
         F.lit(None).cast("string").alias("valid_until"),
     )
-    call = F.struct(
+    return F.struct(
         F.lit("/api/v2/orders/create").alias("endpoint"), F.lit("POST").alias("method"),
         F.struct(F.col("o_orderpriority").alias("X-Priority")).alias("headers"), body.alias("body"),
     )
-    return table(spark, sf_dir, "orders").select("o_orderkey", jx.encode_call(call).alias("call"))
+
+
+@query("p2_encode_call", """
+SELECT o_orderkey,
+       '{"endpoint":"/api/v2/orders/create","method":"POST","headers":{"X-Priority":"' || o_orderpriority
+       || '"},"body":{"customer_id":' || o_custkey || ',"urgent":'
+       || CASE WHEN o_orderpriority = '1-URGENT' THEN 'true' ELSE 'false' END
+       || ',"note":' || CASE WHEN o_orderstatus = 'O' THEN 'null' ELSE '"año ' || o_orderstatus || '"' END
+       || ',"items":[{"sku":"SKU-' || o_orderkey || '","quantity":' || (o_orderkey % 7) || '}],"valid_until":null}}'
+       AS call FROM orders""")
+def p2_encode_call(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", jx.encode_call(_created_order()).alias("call"))
+
+
+@query("p2_indented_call", """
+SELECT o_orderkey, concat_ws(chr(10), '{', '  "endpoint": "/api/v2/orders/create",', '  "method": "POST",', '  "headers": {',
+       '    "X-Priority": "' || o_orderpriority || '"', '  },', '  "body": {', '    "customer_id": ' || o_custkey || ',',
+       '    "urgent": ' || CASE WHEN o_orderpriority = '1-URGENT' THEN 'true' ELSE 'false' END || ',',
+       '    "note": ' || CASE WHEN o_orderstatus = 'O' THEN 'null' ELSE '"año ' || o_orderstatus || '"' END || ',',
+       '    "items": [', '      {', '        "sku": "SKU-' || o_orderkey || '",', '        "quantity": ' || (o_orderkey % 7), '      }',
+       '    ],', '    "valid_until": null', '  }', '}') AS call FROM orders""")
+def p2_indented_call(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", _created_order().alias("call"))
+    return rows.select("o_orderkey", jx.encode_indented(F.col("call"), rows.schema["call"].dataType).alias("call"))
 
 
 @query("p3_adapt_layout", f"""WITH {PAIRS_SQL}

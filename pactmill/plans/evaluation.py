@@ -80,6 +80,21 @@ def j5_displayed(spark, sf_dir):
     return ev.displayed(ev.extract(_answers(spark, sf_dir))).select("case_id", "shown")
 
 
+# the answers are compact calls, so their layout in lines follows from a few replacements
+_LAID_OUT = r"""replace(replace(replace(replace(replace(replace(replace(json_text, '{"endpoint":', '{' || chr(10) || '    "endpoint": '),
+    ',"method":', ',' || chr(10) || '    "method": '), ',"headers":', ',' || chr(10) || '    "headers": '),
+    ',"body":', ',' || chr(10) || '    "body": '), '{"p":', '{' || chr(10) || '        "p": '),
+    '{"customer_id":', '{' || chr(10) || '        "customer_id": '), '}', chr(10) || '}')"""
+
+
+@query("j5_displayed_layout", rf"""WITH {JUDGED_SQL},
+t AS (SELECT case_id, raw, status = 'ok' AND NOT list_contains(ks, 'error') AS laid, {_LAID_OUT} AS text FROM judged)
+SELECT case_id, CASE WHEN laid THEN regexp_replace(regexp_replace(text, chr(10) || '}}([,' || chr(10) || '])', chr(10) || '    }}\1', 'g'),
+                                                   chr(10) || '    }}$', chr(10) || '}}') ELSE raw END AS shown FROM t""")
+def j5_displayed_layout(spark, sf_dir):
+    return ev.displayed(ev.extract(_answers(spark, sf_dir)), width=4).select("case_id", "shown")
+
+
 @query("c1_missing_fields", f"""WITH {JUDGED_SQL}
 SELECT case_id, missing, n_missing::BIGINT AS n_missing FROM judged""")
 def c1_missing_fields(spark, sf_dir):

@@ -167,3 +167,25 @@ def test_strip_equals_python_strip(spark):
     texts = [s + "a" + s + "b" + s for s in spaces] + ["﻿a", "a​", " "]
     got = [r.s for r in answers(spark, texts).select("case_id", tx.strip(F.col("raw")).alias("s")).orderBy("case_id").collect()]
     assert got == [t.strip() for t in texts]
+
+
+@pytest.mark.parametrize("width", [2, 4])
+def test_indented_layout_of_structs(spark, width):
+    shape = "a string, b struct<n: bigint, l: array<struct<x: string, y: array<int>>>, e: struct<z: boolean>>, m: map<string, array<string>>, d: double, ñ: string"
+    rows = [
+        ("q\"uote\\ \n", (1, [("x", [1, 2]), (None, []), None], (True,)), {"k ñ": ["v", None], "empty": []}, 1.5, "año"),
+        (None, None, {}, None, ""),
+        ("", (None, [], None), None, -0.25, "\U0001f600"),
+    ]
+    df = spark.createDataFrame([(r,) for r in rows], f"v struct<{shape.replace('a string', 'a: string').replace(', m:', ', m:').replace('b struct', 'b: struct').replace('ñ: string', '`ñ`: string')}>")
+
+    def plain(value):
+        if hasattr(value, "asDict"):
+            return {k: plain(v) for k, v in zip(value.__fields__, value)}
+        if isinstance(value, dict):
+            return {k: plain(v) for k, v in value.items()}
+        return [plain(v) for v in value] if isinstance(value, list) else value
+
+    got = df.select("v", jx.encode_indented(F.col("v"), df.schema["v"].dataType, width).alias("t")).collect()
+    for row in got:
+        assert row.t == json.dumps(plain(row.v), ensure_ascii=False, indent=width)
