@@ -24,6 +24,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pactmill import fixed_values as fv
 
 OUTPUT = "request_id string, answer string, how string"
+UNUSABLE = "unusable"  # ``how`` of a row that is no chunk; its answer is the whole row as JSON
+PARTS = 64  # groups that rows which are no chunks are dealt over
 # the sequence number marked final or -1, whether the answer is out, the last event time, the timer that is set, the waiting chunks
 RECORD = "final bigint, closed boolean, last_ms bigint, due_ms bigint, waiting bigint"
 CHUNK = "seq bigint, content string"
@@ -45,6 +47,10 @@ class Assembly(StatefulProcessor):
         self.chunks = handle.getListState("chunks", CHUNK)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if key[0] is None:  # no chunks: they pass, and nothing is kept of them
+            for row in rows:
+                yield Row(request_id=None, answer=row.content, how=UNUSABLE)
+            return
         known = self.record.get()
         final, closed, last_ms, due_ms, waiting = known or (-1, False, 0, 0, 0)
         fresh = {}
@@ -103,11 +109,19 @@ def unusable(chunks: DataFrame) -> DataFrame:
     return chunks.where(f"not ({_USABLE})")
 
 
-def assembled(chunks: DataFrame, timeout_s: int = fv.TIMEOUT_SECONDS, watermark: str = "10 seconds") -> DataFrame:
-    """Stream of (request_id, seq, ts, content, done) to a stream of answers."""
-    keyed = chunks.where(_USABLE).withWatermark("ts", watermark).select(
-        "request_id", "seq", "ts", F.unix_millis("ts").alias("ms"), "content", "done"
+def assembled(
+    chunks: DataFrame, timeout_s: int = fv.TIMEOUT_SECONDS, watermark: str = "10 seconds", keep_unusable: bool = False,
+) -> DataFrame:
+    """Stream of (request_id, seq, ts, content, done) to a stream of answers; with ``keep_unusable`` rows that are no chunks come along, marked
+    by ``how``, so that one query can write both."""
+    usable = F.expr(_USABLE)
+    rows = chunks if keep_unusable else chunks.where(usable)
+    whole = F.to_json(F.struct(*(F.col(f"`{c}`") for c in chunks.columns)))
+    part = F.pmod(F.xxhash64(whole), F.lit(PARTS))
+    keyed = rows.withWatermark("ts", watermark).select(
+        F.when(usable, F.col("request_id")).alias("request_id"), F.when(~usable, part).otherwise(0).alias("part"), "seq", "ts",
+        F.unix_millis("ts").alias("ms"), F.when(usable, F.col("content")).otherwise(whole).alias("content"), "done",
     )
-    return keyed.groupBy("request_id").transformWithState(
+    return keyed.groupBy("request_id", "part").transformWithState(
         Assembly(timeout_s * 1000), OUTPUT, outputMode="Append", timeMode="EventTime"
     )

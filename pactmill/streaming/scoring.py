@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pactmill.operators import evaluation
+from pactmill.streaming import assembly
 
 SCORED = (
     "request_id string, how string, status string, strategy int, missing string, method_valid boolean, "
@@ -20,12 +21,29 @@ def _scored(answers: DataFrame) -> DataFrame:
     )
 
 
-def start_scoring(answers: DataFrame, out: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Extract, check and score every completed answer; one folder per micro-batch, rewritten when it is retried."""
+def batch_writer(out: str, unusable: str | None = None):
+    """Writes a micro-batch of answers: scored rows to one folder of ``out``, rows that were no chunks to one of ``unusable``. A batch that is
+    written again replaces both."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        _scored(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-
-    return _start(answers.writeStream.foreachBatch(write).outputMode("append"), checkpoint, once)
+        if unusable is None:
+            _scored(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+            return
+        batch.persist()  # both writes are of one run of the batch
+        try:
+            lines = batch.where(F.col("how") == assembly.UNUSABLE).select(F.col("answer").alias("line"))
+            lines.write.mode("overwrite").parquet(f"{unusable}/batch_id={batch_id}")
+            answers = batch.where(F.col("how") != assembly.UNUSABLE)
+            _scored(answers).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return write
+
+
+def start_scoring(answers: DataFrame, out: str, checkpoint: str, once: bool = True, unusable: str | None = None) -> StreamingQuery:
+    """Extract, check and score every completed answer; one folder per micro-batch, rewritten when it is retried. With a folder for
+    ``unusable`` rows, which ``assembled`` keeps on request, the same query writes these too: the source is read once for both."""
+    return _start(answers.writeStream.foreachBatch(batch_writer(out, unusable)).outputMode("append"), checkpoint, once)
 
 
 def start_totals(spark: SparkSession, scored: str, out: str, checkpoint: str, once: bool = True) -> StreamingQuery:

@@ -258,3 +258,28 @@ def test_a_model_that_cannot_be_loaded_fails_the_job(spark):
     rows = spark.createDataFrame([(1, "a")], "case_id bigint, q string")
     with pytest.raises(Exception, match="could not be loaded: OSError: no such model"):
         an.generate(rows, "q", load, ["case_id"])
+
+
+def test_one_query_writes_scores_and_unusable_lines(spark, tmp_path):
+    good = '{"endpoint":"/api/x","method":"GET","headers":{},"body":{}}'
+    feed(tmp_path / "in", [
+        [line("a", 0, good[:20]), "{broken", '{"request_id": "a", "content": "no place"}'],
+        [line("a", 1, good[20:], True), "[1"],
+    ])
+    chunks = readers.chunk_line_stream(spark, str(tmp_path / "in"), files_per_trigger=1)
+    out, bad = str(tmp_path / "scored"), str(tmp_path / "bad")
+    answers = assembly.assembled(chunks, keep_unusable=True)
+    query = scoring.start_scoring(answers, out, str(tmp_path / "ck"), unusable=bad)
+    query.awaitTermination()
+    assert [(r.request_id, r.score) for r in spark.read.schema(scoring.SCORED).parquet(out).collect()] == [("a", 1.0)]
+    lines = [json.loads(r.line) for r in spark.read.parquet(bad).collect()]
+    assert sorted(one.get("_corrupt_record") or one["request_id"] for one in lines) == ["[1", "a", "{broken"]
+    assert len(query.lastProgress.sources) == 1
+
+
+def test_a_replayed_batch_leaves_one_copy_in_both_sinks(spark, tmp_path):
+    out, bad = str(tmp_path / "scored"), str(tmp_path / "bad")
+    batch = spark.createDataFrame([("a", "{}", "done"), (None, "line", assembly.UNUSABLE)], assembly.OUTPUT)
+    for _ in range(2):
+        scoring.batch_writer(out, bad)(batch, 7)
+    assert spark.read.schema(scoring.SCORED).parquet(out).count() == 1 and [r.line for r in spark.read.parquet(bad).collect()] == ["line"]
