@@ -54,19 +54,47 @@ def _shuffled(seed: int, row_type: pa.DataType):
     return run
 
 
+def _placed(df: DataFrame, key: str, text: str, seed: int, buckets: int, bucket_bytes: int) -> DataFrame:
+    """Rows with the bucket a seeded hash of key and text gives them. Rows that agree in both would all meet in one bucket: where they are larger than
+    a bucket, each next bucketful of them is hashed apart, so that how many go where depends on nothing but their number.
+    They are numbered by an offset per task that read them and a count inside of it."""
+    rows = df.select(
+        F.struct("*").alias("row"), F.xxhash64(F.lit(seed), F.col(key), crc(F.col(text))).alias("settle"),
+        F.coalesce(F.col(key).cast("bigint"), F.lit(-(1 << 63))).alias("tie"),
+    )
+    bucket = lambda *parts: F.pmod(F.xxhash64(F.lit(seed + 1), *parts), F.lit(buckets))
+    sized = rows.select("settle", size(F.col(f"row.`{text}`")).alias("size"))
+    hot = sized.groupBy("settle").agg(F.sum("size").alias("all"), F.max("size").alias("one")).where(F.col("all") > bucket_bytes)
+    # no more of these than there are buckets
+    hot = session.stored(hot.select("settle", F.greatest(F.lit(1), F.expr(f"{bucket_bytes} div one")).alias("_per")), "hot-rows")
+    n_hot = hot.count()
+    if not n_hot:
+        return rows.withColumn("bucket", bucket(F.col("settle")))
+    hot = F.broadcast(hot) if n_hot <= OFFSETS_BROADCAST else hot
+    inside = Window.partitionBy("settle", "_task").orderBy("tie")
+    many = rows.withColumn("_task", F.spark_partition_id()).join(hot, "settle").withColumn("_n", F.row_number().over(inside))
+    many = session.stored(many, "hot-row-numbers")
+    before = Window.partitionBy("settle").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)  # a row per task
+    offsets = many.groupBy("settle", "_task").agg(F.max("_n").alias("_rows")).select(
+        "settle", "_task", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
+    )
+    turn = F.expr("(_offset + _n - 1) div _per")
+    many = many.join(offsets, ["settle", "_task"]).withColumn("bucket", bucket(F.col("settle"), turn)).select("row", "settle", "tie", "bucket")
+    few = rows.join(hot, "settle", "left_anti").withColumn("bucket", bucket(F.col("settle")))
+    return few.select("row", "settle", "tie", "bucket").unionByName(many)
+
+
 def write_shuffled(
     df: DataFrame, folder: str, key: str = "doc_id", text: str = "text", seed: int = 0, bucket_bytes: int = BUCKET_BYTES
 ) -> DataFrame:
     """Write ``df`` to ``folder`` in a random order and give the table back: bucket, pos, row (all columns as a struct).
 
-    The same rows and seed give the same order. Rows that agree in key and text are interchangeable and share a bucket.
+    The same rows and seed give the same order. Rows that agree in key and text are interchangeable, also where other columns differ; no
+    more than a bucketful of them is kept together.
     """
     total = df.agg(F.sum(size(F.col(text)))).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
-    placed = df.select(
-        F.struct("*").alias("row"), F.xxhash64(F.lit(seed), F.col(key), crc(F.col(text))).alias("settle"),
-        F.coalesce(F.col(key).cast("bigint"), F.lit(-(1 << 63))).alias("tie"),
-    ).withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "settle"), F.lit(buckets)))
+    placed = _placed(df, key, text, seed, buckets, bucket_bytes)
     shape = f"bucket bigint, pos bigint, row {df.schema.simpleString()}"
     row_type = to_arrow_type(df.sparkSession.createDataFrame([], shape).schema["row"].dataType)  # all fields may be null
     placed.groupBy("bucket").applyInArrow(_shuffled(seed, row_type), shape).write.parquet(folder)

@@ -222,6 +222,18 @@ def test_shards(docs, awkward, bucket_bytes):
     assert all(m["size"] == len((m.text or "").encode()) + 8 and m.crc == zlib.crc32((m.text or "").encode()) for m in measured)
 
 
+def test_hot_rows_do_not_share_a_bucket(docs, tmp_path):
+    rows = [(None, "")] * 3_000 + [(7, "the same")] * 2_000 + [(k, text_of(5)) for k in range(500)]
+    outcomes = []
+    for parts in (3, 8):
+        shuffled = sharding.write_shuffled(docs(rows, parts), str(tmp_path / str(parts)), seed=5, bucket_bytes=2_000)
+        assert shuffled.groupBy("bucket").count().agg(F.max("count")).first()[0] < 1_500
+        placed = sharding.numbered(shuffled, 24)
+        outcomes.append(Counter((r.row.doc_id, r.row.text, r.shard, r.slot) for r in placed.collect()))
+    assert outcomes[0] == outcomes[1] and outcomes[0].total() == len(rows)
+    assert Counter((k, t) for k, t, _, _ in outcomes[0].elements()) == Counter(rows)
+
+
 def test_fisher_yates_is_uniform():
     seen = Counter(tuple(near) for near in (sharding.fisher_yates(3, [1, k]) for k in range(3000)))
     assert len(seen) == 6 and min(seen.values()) > 400
