@@ -28,6 +28,7 @@ CACHED_CHARACTERS = 4_000_000
 # not white space into one that is, so runs can be encoded, and remembered, one by one.
 # The controls 28 to 31 are white space for one of the two regular-expression libraries only; here they are not.
 RUNS = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
+_ACROSS = re.compile(r"[\S\x1c-\x1f][^\S\x1c-\x1f]")
 
 _NONE = np.int32(2**31 - 1)
 
@@ -198,12 +199,21 @@ class Merger:
         return [i for i in ids if i >= 0]
 
 
+def keeps_to_runs(pieces: regex.Pattern) -> bool:
+    """Whether no piece reaches from a character that is not white space into one that is, tried on characters of every kind. Texts of a pattern
+    that fails are encoded whole."""
+    solid, blank = "aZ1!\u00e9\u65e5\U0001f600'_-.\u0301$", " \n\r\t\u00a0\u2003\x85"
+    probes = (f"{lead}{one}{other}{b}x{c}{b}{one}{b}" for one in solid for other in solid for b in blank for c in blank for lead in ("", " ", "\n"))
+    return not any(_ACROSS.search(match[0]) for probe in probes for match in pieces.finditer(probe))
+
+
 class Codec:
     """Texts to token ids and back."""
 
     def __init__(self, path: str, pattern: str) -> None:
         self.merger = Merger(read_ranks(path))
         self.pieces = regex.compile(pattern)
+        self.by_run = keeps_to_runs(self.pieces)
         self.packed: dict[str, bytes] = {}  # ids of a run, four bytes each, lowest byte first
         self.characters = 0  # of those runs
         tokens = self.merger.tokens
@@ -218,7 +228,7 @@ class Codec:
             while end < len(texts) and (end == begin or characters + len(texts[end]) <= CHARACTERS_TOGETHER):
                 characters += len(texts[end])
                 end += 1
-            split = [RUNS.findall(text) for text in texts[begin:end]]
+            split = [RUNS.findall(text) if self.by_run else [text] for text in texts[begin:end]]
             self._learn(set().union(*split))
             for runs in split:
                 yield b"".join(map(self.packed.__getitem__, runs))
@@ -258,7 +268,8 @@ def coded(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str
 
     ``path`` names a file of ranks that every executor can read. ``ids`` holds four bytes per token, lowest byte first; ``decoded`` holds
     bytes. Null counts as empty, which has no tokens. Rows are independent: repeated rows, null keys and other columns need nothing
-    special, and an empty table gives no rows.
+    special, and an empty table gives no rows. Long texts are encoded run by run, a run being white space and what follows up to the next; only with a
+    pattern whose pieces reach over that, whole.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)

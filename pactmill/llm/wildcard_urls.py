@@ -117,8 +117,8 @@ def judged(df: DataFrame, rules: list[Rule], url: str = "url", default: str = "a
     """``df`` as a struct column ``row``, with host, path, rule and verdict of its URL.
 
     The longest fitting rule wins, the later one of two equally long. Without one, ``rule`` is null and the verdict is
-    ``default``. A null URL or one without ``://`` has an empty host and path, which no rule fits. The rule list is a parameter and stays
-    in the plan; nothing is shuffled.
+    ``default``. A null URL or one without ``://`` has an empty host and path, which no rule fits. Every row is judged on its own, repeated or not; an
+    empty table gives no rows. The rule list is a parameter and stays in the plan; nothing is shuffled.
     """
     parts = df.select(F.struct("*").alias("row"), F.col(url).alias("_url")).select(
         "row", host(F.col("_url")).alias("host"), path(F.col("_url")).alias("path")

@@ -439,3 +439,20 @@ def test_mixes_agree_however_rows_are_dealt_out(docs):
     outcomes = [Counter(map(tuple, mixing.mixed(docs(rows, parts), seed=3, whole_rows=True).select("row.doc_id", "row.text", "taken").collect()))
                 for parts in (2, 5)]
     assert outcomes[0] == outcomes[1] and outcomes[0].total() == len(rows)
+
+
+@pytest.mark.parametrize("pattern", [r"[^\s]+[\r\n]*|\s+", r"\w+ ?|[^\w]+", public_tokenizers.PATTERN])
+def test_any_pattern_splits_as_the_library_does(docs, pattern):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    plain = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=byte_bpe.read_ranks(path), special_tokens={})
+    texts = ["one\r\n\r\ntwo  three \n", "a b\nc", "", "\n x\n", text_of(50).replace(" w", "\nw", 7)]
+    got = {r.doc_id: r.ids for r in byte_bpe.coded(docs(list(enumerate(texts))), path, pattern).collect()}
+    assert [np.frombuffer(got[k], "<u4").tolist() for k in range(len(texts))] == [plain.encode_ordinary(t) for t in texts]
+    assert byte_bpe.Codec(path, pattern).by_run == (pattern == public_tokenizers.PATTERN)
+
+
+def test_urls_repeat_and_tables_may_be_empty(spark):
+    df = spark.createDataFrame([(1, "http://a.net/"), (1, "http://a.net/"), (None, None)], "page_id bigint, url string").selectExpr("*", "'x' as rule", "1 as host")
+    rules = [urls.Rule("block", "net/")]
+    assert Counter((r.row.page_id, r.rule, r.verdict) for r in urls.judged(df, rules).collect()) == {(1, "net/", "block"): 2, (None, None, "allow"): 1}
+    assert urls.judged(df.limit(0), rules).count() == 0
