@@ -21,7 +21,7 @@ from pactmill.llm import wordhash
 from pactmill.llm.components import components
 
 FAMILY_BITS = 400_000_000  # sets times tokens of a family, or of a tile, that are compared in one task
-HUBS = 4
+HUBS = 2
 CANDIDATES_BROADCAST = 1_000_000  # more rows than this are joined by a shuffle instead
 
 _LINK = "a bigint, b bigint"
@@ -119,15 +119,12 @@ def confirmed_links(
     large = load.where(weight > bits).select("family", "sets", slices)
     if large.isEmpty():
         return found
-    large = session.stored(large, "large-families")
     placed = session.stored(sets.join(large, "family").join(families.select("id", "support").distinct(), "id", "left"), "large-family-sets")
     done = None
     for _ in range(HUBS):
         open_ = placed if done is None else placed.join(done, ["family", "id"], "left_anti")
         hubs = open_.groupBy("family").agg(F.max_by("id", F.struct("support", -F.col("id"))).alias("id"))
-        hubs = session.stored(placed.join(hubs, ["family", "id"]).select("family", F.col("id").alias("hub"), F.col("tokens").alias("hub_tokens")), "hubs")
-        if hubs.isEmpty():
-            break
+        hubs = placed.join(hubs, ["family", "id"]).select("family", F.col("id").alias("hub"), F.col("tokens").alias("hub_tokens"))
         near = session.stored(
             placed.join(hubs, "family").select("family", "id", "hub", "tokens", "hub_tokens").mapInArrow(
                 _linked_to_hub(share), "family bigint, id bigint, hub bigint"
@@ -136,10 +133,12 @@ def confirmed_links(
         found = found.unionByName(near.select(F.col("hub").alias("a"), F.col("id").alias("b")))
         reached = near.select("family", "id").distinct()
         if done is None:
-            done = session.stored(reached, "hub-families")
+            done = reached
+        elif near.isEmpty():  # a hub is like itself, so nothing was open
+            break
         else:
             joined = reached.join(done, ["family", "id"], "left_semi").select("family").distinct()
-            done = session.stored(done.unionByName(reached.join(joined, "family")).distinct(), "hub-families")
+            done = done.unionByName(reached.join(joined, "family")).distinct()
     placed = session.stored(
         placed.join(done.withColumn("done", F.lit(True)), ["family", "id"], "left").na.fill(False, ["done"]), "placed-sets"
     )

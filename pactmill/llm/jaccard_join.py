@@ -152,7 +152,7 @@ def candidate_links(texts: DataFrame, reps: DataFrame, width: int, share: int, h
     has few links though it has many entries.
     """
     entries = reps.select("id", F.explode("keys").alias("entry"))
-    shared = session.stored(entries.groupBy("entry").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "entries")
+    shared = entries.groupBy("entry").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     common = session.stored(entries.join(shared, "entry"), "common-entries")
     support = session.stored(common.groupBy("id").agg(F.sum(F.col("n") - 1).alias("support")), "support")
 
@@ -162,7 +162,7 @@ def candidate_links(texts: DataFrame, reps: DataFrame, width: int, share: int, h
 
     dear = session.stored(common.where(F.col("n") > hot).groupBy("id").agg(F.collect_set("entry").alias("dear")), "dear-entries")
     if dear.isEmpty():
-        links = common.join(star(common), "entry")
+        links = common.join(star(common), "entry").select("id", "first")
     else:
         own = session.stored(
             texts.join(families.bounded(dear), "id").select("id", "text", "dear").mapInArrow(
@@ -173,7 +173,10 @@ def candidate_links(texts: DataFrame, reps: DataFrame, width: int, share: int, h
         whole = common.select("id", "entry").join(dear.select("id"), "id", "left_anti").unionByName(paying)
         less = own.select("id", F.explode("less").alias("entry"))
         links = whole.join(star(whole), "entry").select("id", "first").unionByName(less.join(star(paying), "entry").select("id", "first"))
-    return links.select(F.col("first").alias("a"), F.col("id").alias("b")).where("a <> b").distinct(), support
+    # a set hangs on one of the sets it was linked to, and these hang together: few pairs, which many sets share
+    own = session.stored(links.groupBy("id").agg(F.min("first").alias("a"), F.collect_set("first").alias("hubs")), "set-hubs")
+    across = own.where(F.size("hubs") > 1).select("a", F.explode("hubs").alias("b")).distinct()
+    return own.select("a", F.col("id").alias("b")).unionByName(across).where("a <> b").distinct(), support
 
 
 def joined(
