@@ -100,6 +100,54 @@ def test_stream_takes_repeated_chunks_and_moves_its_timer(spark, tmp_path):
     ]
 
 
+def test_requests_that_are_done_at_once_share_state_rows(spark, tmp_path):
+    """A batch of 40,000 whole answers leaves a state row a group, not one or more a request."""
+    feed(tmp_path / "in", [[line(f"r{k}", 0, "x", True, at=k % 50) for k in range(40_000)], [line("r7", 1, "late", at=40), line("z", 0, "z", True, at=900)]])
+    chunks = readers.chunk_line_stream(spark, str(tmp_path / "in"), files_per_trigger=1)
+    query = (
+        assembly.assembled(chunks).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "ck")).outputMode("append").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    first = next(p.stateOperators[0] for p in query.recentProgress if p.numInputRows)
+    assert 0 < first.numRowsUpdated <= 20_000
+    rows = spark.read.parquet(str(tmp_path / "out"))
+    assert rows.count() == 40_001 and rows.where("how <> 'done'").count() == 0
+
+
+def test_times_that_pandas_cannot_hold(spark, tmp_path):
+    """Neither late years nor rows without a time end the stream or move its clock."""
+    none = json.dumps({"request_id": "n", "seq": 0, "message": {"content": "n"}})
+    feed(tmp_path / "in", [[line("a", 0, "a"), none], [line("a", 1, "!", True), line("far", 0, "x", True).replace("2024-", "9999-")]])
+    chunks = readers.chunk_line_stream(spark, str(tmp_path / "in"), files_per_trigger=1)
+    query = (
+        assembly.assembled(chunks, keep_unusable=True).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "ck")).outputMode("append").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    got = [tuple(r) for r in spark.read.schema(assembly.OUTPUT).parquet(str(tmp_path / "out")).collect()]
+    assert sorted(g for g in got if g[0]) == [("a", "a!", "done"), ("far", "x", "done")]
+    assert [(json.loads(g[1])["request_id"], g[2]) for g in got if not g[0]] == [("n", "unusable")]
+
+
+def test_requests_of_one_group_keep_apart(spark, tmp_path):
+    """All requests in one group: more batches than packs, late chunks, a time-out set anew, gaps and time-outs in between."""
+    batches = [[line(f"d{k}", 0, "d", True, at=k), line(f"d{k - 1}", 1, "late", at=k)] for k in range(1, 21)]
+    batches[0] += [line("slow", 0, "a", at=0), line("quiet", 0, "q", at=0), line("gap", 0, "g", at=1), line("d0", 0, "d", True, at=0)]
+    batches[5] += [line("gap", 2, "p", True, at=6)]
+    batches += [
+        [line("slow", 1, "b", at=100)],
+        [line("clock", 0, "t", True, at=160)],
+        [line("slow", 2, "c", True, at=170), line("d20", 2, "late", at=160)],
+        [line("clock2", 0, "t", True, at=900)],
+        [line("clock3", 0, "t", True, at=1800)],
+    ]
+    got = streamed(spark, tmp_path, batches, groups=1)
+    done = [("clock", "t", "done"), ("clock2", "t", "done"), ("clock3", "t", "done"), ("slow", "abc", "done"), ("quiet", "", "timeout"), ("gap", "gp", "gap")]
+    done += [("d0", "dlate", "done")]  # it came in the same batch
+    assert got == sorted([(f"d{k}", "d", "done") for k in range(1, 21)] + done)
+
+
 def test_stream_equals_batch_with_a_hot_request_in_parts(spark, tmp_path):
     hot = [line("hot", i, f"{i},", i == 99, at=1) for i in range(100)]
     cold = [line(f"r{i}", s, f"{i}-{s}", s == 2, at=2) for i in range(20) for s in range(3)]
