@@ -63,14 +63,16 @@ class _Caller:
             pipe.send((None, f"{type(failure).__name__}: {failure}"))
             return
         pipe.send((True, None))
-        while (texts := pipe.recv()) is not None:
-            try:
-                said = list(model(texts)) if self.batch else [model(texts[0])]
-                if len(said) != len(texts):
-                    raise ValueError(f"{len(said)} answers to {len(texts)} texts")
-                pipe.send((said, None))
-            except Exception as failure:  # noqa: BLE001 - any failure of the caller's model is recorded
-                pipe.send((None, f"{type(failure).__name__}: {failure}"))
+        while (calls := pipe.recv()) is not None:
+            for texts in calls:
+                began = time.perf_counter()
+                try:
+                    said = list(model(texts)) if self.batch else [model(texts[0])]
+                    if len(said) != len(texts):
+                        raise ValueError(f"{len(said)} answers to {len(texts)} texts")
+                    pipe.send((said, None, time.perf_counter() - began))
+                except Exception as failure:  # noqa: BLE001 - any failure of the caller's model is recorded
+                    pipe.send((None, f"{type(failure).__name__}: {failure}", time.perf_counter() - began))
 
     def _start(self) -> None:
         forked = multiprocessing.get_context("fork")  # the model need not be sent, and the worker has no other threads
@@ -86,20 +88,31 @@ class _Caller:
             self.end()
             raise RuntimeError(f"the model could not be loaded: {error}")
 
-    def call(self, texts: list[str]) -> tuple[list[str], str | None]:
-        """Answers to texts, or empty ones and the reason."""
-        if self.process is None:
-            self._start()
-        error = f"TimeoutError: no answer within {self.limit_s:g} s"
-        try:
-            self.pipe.send(texts)
-            if self.pipe.poll(self.limit_s):
-                said, error = self.pipe.recv()
-                return (said, None) if error is None else ([""] * len(texts), error)
-        except (EOFError, OSError):
-            error = "ChildProcessError: the model's process ended"
-        self.end()
-        return [""] * len(texts), error
+    def call(self, calls: list[list[str]]) -> Iterator[tuple[list[str], str | None, float]]:
+        """For each call the answers to its texts, or empty ones and the reason, and the seconds it took.
+
+        The calls are sent together, and each one's answers come as soon as they are there: the model need not wait between them.
+        """
+        at = 0
+        while at < len(calls):
+            if self.process is None:
+                self._start()
+            began, error = time.perf_counter(), f"TimeoutError: no answer within {self.limit_s:g} s"
+            try:
+                self.pipe.send(calls[at:])
+                while at < len(calls):
+                    began = time.perf_counter()
+                    if not self.pipe.poll(self.limit_s):
+                        break
+                    said, failed, seconds = self.pipe.recv()
+                    yield (said if failed is None else [""] * len(calls[at])), failed, seconds
+                    at += 1
+            except (EOFError, OSError):
+                error = "ChildProcessError: the model's process ended"
+            if at < len(calls):
+                self.end()
+                yield [""] * len(calls[at]), error, time.perf_counter() - began
+                at += 1
 
     def end(self) -> None:
         if self.process is not None:
@@ -132,13 +145,11 @@ def generate(
         def answered(rows: pd.DataFrame) -> pd.DataFrame:
             answers, errors, elapsed = [], [], []
             texts = rows["instruction"].tolist()
-            for at in range(0, len(texts), size):
-                part = texts[at:at + size]
-                began = time.perf_counter()
-                said, error = caller.call(part)
+            parts = [texts[at:at + size] for at in range(0, len(texts), size)]
+            for part, (said, error, seconds) in zip(parts, caller.call(parts)):
                 answers += said
                 errors += [error] * len(part)
-                elapsed += [int((time.perf_counter() - began) * 1000 / len(part))] * len(part)
+                elapsed += [int(seconds * 1000 / len(part))] * len(part)
             return rows.assign(raw=answers, error=errors, elapsed_ms=elapsed)
 
         try:

@@ -3,6 +3,7 @@
 import datetime
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -210,6 +211,29 @@ def test_pairing_keeps_every_case_and_every_answer(spark):
     assert got.where("raw = ''").count() == 50
 
 
+def test_the_model_goes_on_while_answers_are_read(tmp_path):
+    calls = tmp_path / "calls"
+
+    def load():
+        def answer(text):
+            with open(calls, "a") as file:
+                file.write(text)
+            return text
+        return answer
+
+    caller = an._Caller(load, None, 5.0)
+    try:
+        answers = caller.call([["a"], ["b"], ["c"]])
+        assert next(answers)[:2] == (["a"], None)
+        until = time.time() + 5
+        while calls.read_text() != "abc" and time.time() < until:
+            time.sleep(0.01)
+        assert calls.read_text() == "abc"  # two calls were made that nobody has asked for yet
+        assert [said for said, _, _ in answers] == [["b"], ["c"]]
+    finally:
+        caller.end()
+
+
 def test_generation_goes_on_after_failures(spark):
     def load():
         def answer(text):
