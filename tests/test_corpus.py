@@ -75,6 +75,16 @@ def test_metrics_are_appended_per_run(spark, tmp_path):
     assert [(r.final_loss, r.runtime_s, r.runtime_min) for r in got] == [(0.4, None, None), (None, None, None)]
 
 
+def test_metrics_folders_do_not_grow_with_runs(spark, tmp_path):
+    rows = spark.range(1000).select(F.when(F.col("id") != 7, F.col("id")).alias("run_id"), F.col("id").alias("step"),
+                                    F.lit("train_loss").alias("metric"), F.lit(0.5).alias("value"), F.lit(None).cast("timestamp").alias("ts"))
+    for _ in range(2):
+        sinks.append_metrics(rows, str(tmp_path / "m"))
+    assert len([p for p in (tmp_path / "m").iterdir() if p.is_dir()]) <= sinks.RUN_GROUPS
+    got = spark.read.parquet(str(tmp_path / "m"))
+    assert got.count() == 2000 and got.select("run_id").distinct().count() == 1000 and got.where("run_id is null").count() == 2
+
+
 def test_adapt_layouts(spark):
     rows = spark.createDataFrame(
         [(1, "do", "with", "done", "be brief"), (2, "do", "", "done", None), (3, "do", None, "done", "s")],
