@@ -40,8 +40,9 @@ def pair_with_cases(cases: DataFrame, answers: DataFrame, key: str = "case_id",
     """Every case with its answers; a case without one gets the empty answer.
 
     Matched and unmatched cases are found apart. Only an inner join can be split on a hot key on both sides, and the
-    unmatched side needs nothing but distinct keys, which are reduced before they move.
+    unmatched side needs nothing but distinct keys, which are reduced before they move. Shuffles start from more partitions as the tables grow.
     """
+    session.finer(cases, answers)
     matched = cases.join(answers, key, "inner")
     unmatched = cases.join(answers.select(key).distinct(), key, "left_anti")
     extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in answers.schema.fields if f.name != key]

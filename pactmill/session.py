@@ -25,6 +25,11 @@ SESSION_SETTINGS = {
 }
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SHUFFLE_BYTES = 2 << 20  # planned bytes a partition; the planner counts compressed files, so that rows take several times this
+MOST_PARTITIONS = 8192
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on to a session someone else created, and send it this package."""
     for name, value in SESSION_SETTINGS.items():
@@ -75,6 +80,24 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def finer(*frames: DataFrame) -> None:
+    """Let the session's shuffles start from as many partitions as tables of this size need, so that a task's share does not grow with them.
+
+    AQE joins small ones to its advisory size again and splits hot ones, which it does not do where a repartitioning fixes their number. The
+    setting stays with the session and is only ever raised.
+    """
+    spark = frames[0].sparkSession
+    size = sum(_planned_bytes(df) for df in frames)
+    known = int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(-(-size // SHUFFLE_BYTES), MOST_PARTITIONS)
+    if wanted > known:
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+
+
+def _planned_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows for costly work per row, dealt out evenly where the source is too small to give every core a task of its own.
 
@@ -84,7 +107,7 @@ def spread(df: DataFrame) -> DataFrame:
     if df.isStreaming:
         return df
     spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size = _planned_bytes(df)
     split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
     cores = spark.sparkContext.defaultParallelism
     return df.repartition(cores) if size < cores * split else df

@@ -211,6 +211,18 @@ def test_pairing_keeps_every_case_and_every_answer(spark):
     assert got.where("raw = ''").count() == 50
 
 
+def test_pairing_of_larger_tables_starts_from_more_partitions(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    spark.conf.unset(name)
+    cases = spark.range(4_000_000).withColumnRenamed("id", "case_id")  # planned at 32 MB
+    try:
+        got = an.pair_with_cases(cases, cases.where("case_id % 2 = 0").withColumn("raw", F.lit("x")))
+        assert int(spark.conf.get(name)) >= 16
+        assert got.groupBy("raw").count().orderBy("raw").collect() == [("", 2_000_000), ("x", 2_000_000)]
+    finally:
+        spark.conf.unset(name)
+
+
 def test_the_model_goes_on_while_answers_are_read(tmp_path):
     calls = tmp_path / "calls"
 
